@@ -276,6 +276,50 @@ def trailing_window(
     return seen.select("*", *columns).filter(F.col("__place.live")).drop("__t", "__place")
 
 
+def with_neighbours(
+    df: DataFrame, keys: Sequence[str], time: str, column: str, slice_seconds: int = 86_400
+) -> DataFrame:
+    """Add ``before`` and ``after``: the nearest non-null (t, v) of the key at or
+    before and at or after each row. Same two levels as the as-of join."""
+    width = slice_seconds * MICROS
+    known = F.when(F.col(column).isNotNull(), F.struct(F.col("__t").alias("t"), F.col(column).alias("v")))
+    rows = df.withColumn("__t", micros(time)).withColumn("__slice", _floor_div(F.col("__t"), width))
+    rows = rows.withColumn("__k", known)
+    place = Window.partitionBy(*keys, "__slice")
+    back = place.orderBy("__t").rangeBetween(Window.unboundedPreceding, 0)
+    ahead = place.orderBy(F.col("__t").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    over_slices = Window.partitionBy(*keys).orderBy("__slice")
+    carried = (
+        rows.groupBy(*keys, "__slice")
+        .agg(F.max("__k").alias("__last"), F.min("__k").alias("__first"))
+        .select(
+            *keys,
+            "__slice",
+            F.max("__last").over(over_slices.rowsBetween(Window.unboundedPreceding, -1)).alias("__b"),
+            F.min("__first").over(over_slices.rowsBetween(1, Window.unboundedFollowing)).alias("__a"),
+        )
+    )
+    local = rows.select("*", F.max("__k").over(back).alias("__lb"), F.min("__k").over(ahead).alias("__la"))
+    return (
+        local.join(carried, [*keys, "__slice"], "left")
+        .withColumn("before", F.coalesce("__lb", "__b"))
+        .withColumn("after", F.coalesce("__la", "__a"))
+        .drop("__slice", "__k", "__b", "__a", "__lb", "__la")
+    )
+
+
+def interpolate(df: DataFrame, keys: Sequence[str], time: str, column: str, out: str) -> DataFrame:
+    """Fill gaps on the straight line between the neighbouring known values;
+    before the first and after the last known value the gap stays."""
+    around = with_neighbours(df, keys, time, column)
+    share = (F.col("__t") - F.col("before.t")) / (F.col("after.t") - F.col("before.t")).cast("double")
+    line = F.col("before.v") + (F.col("after.v") - F.col("before.v")) * share
+    filled = F.when(F.col(column).isNotNull(), F.col(column)).when(
+        F.col("before").isNotNull() & F.col("after").isNotNull(), line
+    )
+    return around.withColumn(out, filled).drop("__t", "before", "after")
+
+
 def sessions(
     df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int, slice_seconds: int = 3_600
 ) -> DataFrame:
