@@ -1 +1,263 @@
+"""Scans, sinks and layout reports. Each writes to a new scratch folder."""
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyloom.functions import documents
+from tallyloom.plans.scratch import run_dir
+from tallyloom.queries.registry import query
+from tallyloom.sources import files, layout
+
+
+@query("s1_csv_scan", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def csv_scan(t):
+    path = run_dir(t.spark, "orders-csv")
+    files.write_csv(t.orders, path)
+    return files.read_csv(
+        t.spark, path, t.orders.schema,
+        ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    )
+
+
+@query("s1_csv_quoted_text_ids", """
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, 'a, "' || c_name || '"' AS label FROM customer""")
+def csv_quoted_text_ids(t):
+    """Leading zeros survive because the schema says text; quotes and commas too."""
+    path = run_dir(t.spark, "customer-csv")
+    rows = t.customer.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"),
+        F.concat(F.lit('a, "'), "c_name", F.lit('"')).alias("label"),
+    )
+    files.write_csv(rows, path)
+    return files.read_csv(t.spark, path, "code string, label string")
+
+
+@query("s2_csv_discovery", """
+    SELECT p_partkey, p_name, p_size, p_retailprice FROM part""")
+def csv_discovery(t):
+    path = run_dir(t.spark, "part-csv")
+    files.write_csv(t.part, path)
+    found = files.discover_csv(t.spark, path)
+    declared = T.StructType([
+        T.StructField(f.name, T.LongType() if f.name == "p_partkey" else f.dataType) for f in found.fields
+    ])
+    return files.read_csv(t.spark, path, declared, ["p_partkey", "p_name", "p_size", "p_retailprice"])
+
+
+@query("s3_parquet_scan", """
+    SELECT l_orderkey, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_quantity > 40""")
+def parquet_scan(t):
+    return t.lineitem.filter(
+        (F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")) & (F.col("l_quantity") > 40)
+    ).select("l_orderkey", "l_quantity")
+
+
+@query("s4_partitioned_scan", """
+    SELECT event_id, user_id, value, CAST(day(ts) AS BIGINT) AS day FROM events WHERE day(ts) BETWEEN 10 AND 14""")
+def partitioned_scan(t):
+    path = run_dir(t.spark, "events-by-day")
+    parts = t.events.withColumns({"year": F.year("ts"), "month": F.month("ts"), "day": F.day("ts")})
+    files.write_partitioned(parts, path, ["year", "month", "day"])
+    return t.spark.read.parquet(path).filter(
+        (F.col("year") == 2024) & (F.col("month") == 1) & F.col("day").between(10, 14)
+    ).select("event_id", "user_id", "value", F.col("day").cast("long").alias("day"))
+
+
+@query("s5_json_field", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(t):
+    return t.events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@query("s5_json_document_scan", """
+    SELECT r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def json_document_scan(t):
+    """Pretty-printed documents, one file each, back to rows."""
+    path = run_dir(t.spark, "region-json")
+    nested = (
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .groupBy("r_regionkey", "r_name")
+        .agg(F.array_sort(F.collect_list("n_name")).alias("nations"))
+        .select("r_regionkey", F.to_json(F.struct("r_name", "nations"), {"pretty": "true"}).alias("value"))
+    )
+    nested.repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    docs = files.read_json_documents(t.spark, path, "r_name string, nations array<string>")
+    return docs.select("r_name", F.explode("nations").alias("n_name"))
+
+
+@query("s6_json_lines_scan", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def json_lines_scan(t):
+    path = run_dir(t.spark, "events-jsonl")
+    files.append_json_lines(t.events, path)
+    return files.read_json_lines(t.spark, path, t.events.schema)
+
+
+@query("s7_latest_by_prefix", """
+    SELECT event_type AS prefix, strftime(max(date_trunc('day', ts)), '%Y%m%d') AS stamp FROM events GROUP BY event_type""")
+def latest_by_prefix(t):
+    path = run_dir(t.spark, "snapshots")
+    stamped = t.events.select(
+        F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd")).alias("snapshot"),
+        F.col("event_id").cast("string").alias("value"),
+    )
+    stamped.hint("rebalance", "snapshot").write.partitionBy("snapshot").text(path)
+    return files.latest_by_prefix(files.list_files(t.spark, path, "*.txt"), r"snapshot=([a-z]+)_(\d{8})/")
+
+
+@query("s8_binary_media_scan", """
+    SELECT page_id, url AS label, strlen(html) AS n_bytes FROM pages""")
+def binary_media_scan(t):
+    path = run_dir(t.spark, "media")
+    media = t.pages.select(
+        "page_id", F.col("url").alias("text"),
+        F.struct(F.encode("html", "UTF-8").alias("bytes"), F.col("url").alias("path")).alias("image"),
+    )
+    files.write_parquet(media, path)
+    stored = t.spark.read.parquet(path)
+    labels = stored.select("page_id", F.col("text").alias("label"))  # payload column is not read
+    sizes = stored.select("page_id", F.octet_length("image.bytes").cast("long").alias("n_bytes"))
+    return labels.join(sizes, "page_id")
+
+
+@query("s9_csv_sink", """
+    SELECT s_name AS name, s_acctbal AS balance FROM supplier UNION ALL SELECT c_name, c_acctbal FROM customer""")
+def csv_sink(t):
+    path = run_dir(t.spark, "append-csv")
+    files.write_csv(t.supplier.select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")), path, "overwrite")
+    files.write_csv(t.customer.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")), path, "append")
+    return files.read_csv(t.spark, path, "name string, balance double")
+
+
+@query("s10_parquet_sink", """
+    SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 2) AS price FROM lineitem
+    WHERE l_shipdate < TIMESTAMP '1996-01-01' GROUP BY l_returnflag""")
+def parquet_sink(t):
+    path = run_dir(t.spark, "lineitem-zstd")
+    files.write_parquet(t.lineitem, path, sort=["l_shipdate"], codec="zstd", row_group_bytes=4 * 1024 * 1024)
+    early = t.spark.read.parquet(path).filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return early.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price")
+    )
+
+
+@query("s11_format_conversion", """
+    SELECT count(*) AS left_rows, count(*) AS right_rows, CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only FROM orders""")
+def format_conversion(t):
+    """Parquet to CSV to Parquet, then compared row by row."""
+    as_csv, back = run_dir(t.spark, "to-csv"), run_dir(t.spark, "to-parquet")
+    files.write_csv(t.orders, as_csv)
+    files.write_parquet(files.read_csv(t.spark, as_csv, t.orders.schema), back, codec="snappy")
+    return files.same_rows(t.orders, t.spark.read.parquet(back))
+
+
+@query("s12_partitioned_write", """
+    SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS month,
+           count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL""")
+def partitioned_write(t):
+    path = run_dir(t.spark, "orders-by-month")
+    parts = t.orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    files.write_partitioned(parts, path, ["year", "month"])
+    return (
+        t.spark.read.parquet(path)
+        .groupBy(F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"))
+        .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    )
+
+
+@query("s13_table_and_view", """
+    SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY n_name""")
+def table_and_view(t):
+    spark = t.spark
+    path = run_dir(spark, "table")
+    name = "t_" + path.rsplit("-", 1)[1]
+    t.customer.filter(F.col("c_acctbal") > 0).write.option("path", path).saveAsTable(name)
+    t.nation.createOrReplaceTempView(f"{name}_nation")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY VIEW {name}_mart AS
+        SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+        FROM {name} JOIN {name}_nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+    return spark.table(f"{name}_mart")
+
+
+@query("s14_json_lines_log", """
+    SELECT event_id AS request_id, event_type AS model, value AS prediction FROM events
+    UNION ALL SELECT o_orderkey, 'order', o_totalprice FROM orders""")
+def json_lines_log(t):
+    path = run_dir(t.spark, "log-jsonl")
+    files.append_json_lines(
+        t.events.select(F.col("event_id").alias("request_id"), F.col("event_type").alias("model"), F.col("value").alias("prediction")), path)
+    files.append_json_lines(
+        t.orders.select(F.col("o_orderkey").alias("request_id"), F.lit("order").alias("model"), F.col("o_totalprice").alias("prediction")), path)
+    return files.read_json_lines(t.spark, path, "request_id bigint, model string, prediction double")
+
+
+@query("s15_table_inventory", """
+    SELECT 'orders' AS name, count(*) AS rows, CAST(6 AS BIGINT) AS columns FROM orders
+    UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem
+    UNION ALL SELECT 'events', count(*), 6 FROM events
+    UNION ALL SELECT 'embeddings', count(*), 3 FROM embeddings
+    UNION ALL SELECT 'documents', count(*), 5 FROM documents""")
+def table_inventory(t):
+    found = layout.table_inventory(t.spark, t.sf_dir)
+    name = F.regexp_extract("path", r"([a-z]+)\.parquet$", 1)
+    return found.select(name.alias("name"), "rows", F.col("columns").cast("long").alias("columns")).filter(
+        F.col("name").isin("orders", "lineitem", "events", "embeddings", "documents")
+    )
+
+
+@query("s15_row_group_statistics", """
+    SELECT 'o_totalprice' AS column, round(min(o_totalprice), 2) AS low, round(max(o_totalprice), 2) AS high,
+           count(*) AS n FROM orders""")
+def row_group_statistics(t):
+    footers = layout.parquet_footers(t.spark, t.path("orders")).filter(F.col("column") == "o_totalprice")
+    return footers.groupBy("column").agg(
+        F.round(F.min(F.col("min_value").cast("double")), 2).alias("low"),
+        F.round(F.max(F.col("max_value").cast("double")), 2).alias("high"),
+        F.sum("n_rows").alias("n"),
+    )
+
+
+@query("s15_size_by_format")
+def size_by_format(t):
+    return layout.size_by_format(files.list_files(t.spark, t.sf_dir))
+
+
+@query("s16_catalog", """
+    SELECT 'l_quantity' AS column, 'double' AS type, count(*) AS rows FROM lineitem
+    UNION ALL SELECT 'l_returnflag', 'string', count(*) FROM lineitem
+    UNION ALL SELECT 'l_linenumber', 'int', count(*) FROM lineitem""")
+def catalog(t):
+    rows = t.lineitem.select(F.count("*").alias("rows")).scalar()
+    columns = layout.describe_columns(t.lineitem.select("l_quantity", "l_returnflag", "l_linenumber"))
+    return columns.select("column", "type", rows.alias("rows"))
+
+
+@query("s17_literal_rows", """
+    WITH s(code, label) AS (VALUES ('F', 'finished'), ('O', 'open'), ('P', 'partly'))
+    SELECT label, count(*) AS n FROM orders JOIN s ON o_orderstatus = code GROUP BY label""")
+def literal_rows(t):
+    labels = t.spark.sql("SELECT * FROM VALUES ('F', 'finished'), ('O', 'open'), ('P', 'partly') AS s(code, label)")
+    return t.orders.join(labels, F.col("o_orderstatus") == F.col("code")).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("s17_truncate", "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after FROM nation")
+def truncate(t):
+    path = run_dir(t.spark, "truncate")
+    t.nation.write.parquet(path)
+    before = t.spark.read.parquet(path).count()
+    t.nation.filter(F.lit(False)).write.mode("overwrite").parquet(path)
+    after = t.spark.read.schema(t.nation.schema).parquet(path).agg(F.count("*").alias("after"))
+    return after.select(F.lit(before).cast("long").alias("before"), "after")
+
+
+@query("s18_nested_export", """
+    SELECT r_name, count(*) AS features, min(n_name) AS first_name FROM nation
+    JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def nested_export(t):
+    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    docs = documents.feature_collection(rows, ["r_name"], ["n_nationkey", "n_name"], "n_name")
+    return docs.select(
+        "r_name",
+        F.get_json_object("document", "$.summary.count").cast("long").alias("features"),
+        F.get_json_object("document", "$.features[0].properties.n_name").alias("first_name"),
+    )
