@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.operators.aggregates import value_counts
 from tallyloom.plans.ordering import exact_quantiles
 
@@ -184,7 +185,7 @@ def schema_differences(df: DataFrame, declared: T.StructType, renames: Mapping[s
             rows.append((name, "missing", kind, None))
     known = set(wanted) | set(old_names.values())
     rows += [(n, "unexpected", None, k) for n, k in actual.items() if n not in known]
-    return df.sparkSession.createDataFrame(rows, "field string, status string, declared string, actual string")
+    return literal_table(df.sparkSession, rows, "field string, status string, declared string, actual string")
 
 
 def match_rate(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.plans.ordering import average_ranks, exact_quantiles, running_sums
 
 
@@ -22,8 +23,11 @@ def confusion_counts(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: Sequence) -> DataFrame:
     """Counts for every pair of the given classes, zeros included."""
-    spark = df.sparkSession
-    pairs = spark.createDataFrame([(a, b) for a in classes for b in classes], [label, predicted])
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    pairs = literal_table(
+        df.sparkSession, [(a, b) for a in classes for b in classes],
+        f"`{label}` {kinds[label]}, `{predicted}` {kinds[predicted]}",
+    )
     counts = confusion_counts(df, label, predicted)
     return pairs.join(counts, [label, predicted], "left").na.fill(0, ["n"])
 
@@ -144,7 +148,9 @@ def threshold_sweep(df: DataFrame, score: str, label: str, thresholds: Sequence[
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )
     positives = counts.select(F.coalesce(F.sum("pos"), F.lit(0))).scalar()
-    grid = df.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(steps)], "step int, threshold double")
+    grid = literal_table(
+        df.sparkSession, [(i + 1, float(v)) for i, v in enumerate(steps)], "step int, threshold double"
+    )
     above = Window.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = grid.join(counts, "step", "left").na.fill(0, ["n", "pos"])
     swept = swept.select(
@@ -235,7 +241,7 @@ def residual_range(df: DataFrame, keys: Sequence[str], actual: str, predicted: s
 def check_targets(report: DataFrame, targets: Mapping[tuple[str, str], float]) -> DataFrame:
     """Compare class measures with their targets; pass means greater."""
     rows = [(c, m, float(v)) for (c, m), v in targets.items()]
-    wanted = report.sparkSession.createDataFrame(rows, "class string, measure string, target double")
+    wanted = literal_table(report.sparkSession, rows, "class string, measure string, target double")
     long = report.unpivot(["class"], ["precision", "recall", "f1"], "measure", "value")
     return wanted.join(long, ["class", "measure"], "left").withColumn(
         "passed", F.coalesce(F.col("value") > F.col("target"), F.lit(False))
@@ -259,3 +265,16 @@ def explain_errors(df: DataFrame, row_id: str, label: str, predicted: str, featu
         ]
     )
     return wrong.select(row_id, label, predicted, F.inline(entries))
+
+
+def rank_models(folds: DataFrame, model: str, score: str, digits: int = 6) -> DataFrame:
+    """Mean and population deviation per model over its folds, rank, champion.
+
+    One row per model, so a plain window ranks them.
+    """
+    means = folds.groupBy(model).agg(
+        F.round(F.avg(score), digits).alias("mean"), F.round(F.stddev_pop(score), digits).alias("sd")
+    )
+    order = Window.orderBy(F.col("mean").desc())
+    place = F.rank().over(order).cast("long")
+    return means.withColumn("place", place).withColumn("champion", F.col("place") == 1)

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.operators.selection import keep_first
 
 _TAXI = """features array<struct<properties: struct<timestamp: string, taxi_count: bigint>,
@@ -212,8 +213,8 @@ def logged_run(spark: SparkSession, log: str, source: str, job: Callable[[], int
     except Exception as error:
         rows, status = 0, "failed"
         message = traceback.format_exception_only(error)[-1].strip()[:500]
-    entry = spark.createDataFrame(
-        [(source, started, status, rows, message)],
+    entry = literal_table(
+        spark, [(source, started, status, rows, message)],
         "source string, started_at timestamp, status string, rows bigint, message string",
     ).withColumn("ended_at", F.current_timestamp())
     entry.write.mode("append").parquet(log)

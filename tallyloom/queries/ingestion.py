@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.functions import times
 from tallyloom.operators import ingest as ig
 from tallyloom.operators import joins as jn
@@ -160,7 +161,7 @@ def incremental_high_water(t):
     path = run_dir(t.spark, "incremental")
     early = t.events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     counts = [ig.load_increment(s, "ts", path) for s in (early, t.events, t.events)]
-    return t.spark.createDataFrame([(i + 1, n) for i, n in enumerate(counts)], "load int, n bigint")
+    return literal_table(t.spark, [(i + 1, n) for i, n in enumerate(counts)], "load int, n bigint")
 
 
 @query("i9_insert_or_ignore", """
@@ -175,7 +176,7 @@ def insert_or_ignore(t):
     first = ig.insert_or_ignore(rows.filter(F.col("ts") < cut), path, ["event_id"], [F.col("value")])
     second = ig.insert_or_ignore(later.union(later), path, ["event_id"], [F.col("value")])
     total = t.spark.read.parquet(path).select("event_id").distinct().count()
-    return t.spark.createDataFrame([("first", first), ("second", second), ("total", total)], "load string, inserted bigint")
+    return literal_table(t.spark, [("first", first), ("second", second), ("total", total)], "load string, inserted bigint")
 
 
 @query("i10_replace_snapshot", """

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.functions import text
 from tallyloom.operators import joins as jn
 from tallyloom.operators import spatial as sp
@@ -45,7 +46,7 @@ def polygons(t):
         (json.dumps({"type": "Feature", "properties": {"NAME": n}, "geometry": {"type": k, "coordinates": c}}),)
         for n, k, c in _FEATURES
     ]
-    return sp.polygon_table(t.spark.createDataFrame(docs, "doc string"), "doc", "NAME")
+    return sp.polygon_table(literal_table(t.spark, docs, "doc string"), "doc", "NAME")
 
 
 def vector_points(t):
@@ -165,7 +166,7 @@ def area_attributes(t):
     WITH p AS (SELECT *, {_IN['ALPHA']} OR {_IN['CHARLIE']} AS west, {_IN['BRAVO']} OR {_IN['DELTA']} AS east FROM ({_EVENT_POINTS}))
     SELECT CASE WHEN east THEN 'EAST' ELSE 'WEST' END AS area, count(*) AS n FROM p WHERE east OR west GROUP BY 1""")
 def dissolve(t):
-    parents = t.spark.createDataFrame(
+    parents = literal_table(t.spark, 
         [("ALPHA", "WEST"), ("CHARLIE", "WEST"), ("BRAVO", "EAST"), ("DELTA", "EAST"), ("ECHO", "FAR")], "area string, parent string"
     )
     larger = sp.dissolve(polygons(t), parents)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.plans import timejoin
 from tallyloom.plans.scratch import run_dir
 from tallyloom.queries.registry import query
@@ -140,4 +141,4 @@ def checkpoint_resume(t):
             arrival.write.mode("append").parquet(landed)
         jobs.run(jobs.parquet_stream(t.spark, landed, rows.schema), checkpoint, jobs.batch_folder_sink(target))
         counts.append(t.spark.read.parquet(target).count())
-    return t.spark.createDataFrame(list(zip(("first", "second", "third"), counts)), "run string, n bigint")
+    return literal_table(t.spark, list(zip(("first", "second", "third"), counts)), "run string, n bigint")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.plans.literals import literal_table
 from tallyloom.sources.files import list_files
 
 _FOOTER = (
@@ -74,4 +75,4 @@ def size_by_format(files: DataFrame) -> DataFrame:
 def describe_columns(df: DataFrame) -> DataFrame:
     """Name, type and position of every column, as a table."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+    return literal_table(df.sparkSession, rows, "position int, column string, type string, nullable boolean")
