@@ -210,3 +210,20 @@ def target_encode(df: DataFrame, column: str, target: str, fold: str, smoothing:
         ((F.col("__s1") + F.lit(smoothing) * F.col("__prior")) / (F.col("__c1") + F.lit(smoothing))).alias(out),
     )
     return df.join(encoded, [column, fold])
+
+
+def fit_categories(train: DataFrame, column: str, limit: int = 1_000) -> list[str]:
+    """Sorted categories of the training rows; more than ``limit`` is an error,
+    since each becomes a column."""
+    rows = train.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{column} has more than {limit} categories")
+    return sorted(r[0] for r in rows)
+
+
+def bin_class(column: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
+    """Label of the first edge that is not below the value, else the last."""
+    out = F.lit(labels[-1])
+    for edge, name in reversed(list(zip(edges, labels))):
+        out = F.when(column <= F.lit(edge), F.lit(name)).otherwise(out)
+    return out

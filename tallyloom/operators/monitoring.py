@@ -89,12 +89,13 @@ def numeric_drift(reference: DataFrame, current: DataFrame, column: str, bins: i
     """
     names = {f"e{i}": i / bins for i in range(bins + 1)}
     edges = exact_quantiles(reference, column, names).select(F.array(*names).alias("e")).scalar()
-    inner = F.slice(edges, 2, bins - 1)
+    inner = F.slice("__edges", 2, bins - 1)
     value = F.col(column).cast("double")
     bin_no = F.aggregate(inner, F.lit(0), lambda n, e: n + F.when(value > e, 1).otherwise(0))
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        return df.filter(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias(name))
+        known = df.filter(F.col(column).isNotNull()).withColumn("__edges", edges)
+        return known.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias(name))
 
     spark = reference.sparkSession
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))

@@ -96,11 +96,11 @@ def row_numbers(
     local = Window.partitionBy(*keys, CELL).orderBy(
         F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_last()
     )
-    numbered = celled.withColumn("__rn", F.row_number().over(local)).join(prefix, [*keys, CELL])
-    result = numbered.withColumn(out, (F.col("__rn") + F.col("__before_n")).cast("long"))
+    numbered = celled.withColumn("__in_cell", F.row_number().over(local)).join(prefix, [*keys, CELL])
+    result = numbered.withColumn(out, (F.col("__in_cell") + F.col("__before_n")).cast("long"))
     if with_total is not None:
         result = result.withColumn(with_total, F.col("total_n").cast("long")).drop("total_n")
-    return result.drop("__rn", "__before_n", CELL)
+    return result.drop("__in_cell", "__before_n", CELL)
 
 
 def running_sums(

@@ -1 +1,365 @@
+"""Models, clustering and neighbours."""
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tallyloom.functions import vectors
+from tallyloom.operators import clustering as cl
+from tallyloom.operators import evaluation as ev
+from tallyloom.operators import features as ft
+from tallyloom.operators import models as md
+from tallyloom.operators import monitoring as mo
+from tallyloom.operators import neighbours as nb
+from tallyloom.plans import timejoin
+from tallyloom.plans.literals import literal_table
+from tallyloom.queries.registry import query
+
+_NUMERIC = ["price", "activity"]
+_CATEGORICAL = ["o_orderpriority", "o_orderstatus"]
+
+
+def training_rows(t):
+    """Orders with a class that follows from price and activity, plus noise."""
+    price, activity = F.col("o_totalprice") / 100000.0, (F.col("o_custkey") % 100) / 50.0
+    noise = (F.col("o_orderkey") * 7919 % 1009) / 1009.0
+    return t.orders.select(
+        "o_orderkey", price.alias("price"), activity.alias("activity"), *_CATEGORICAL,
+        F.when(price + activity + noise > 4.2, 1.0).otherwise(0.0).alias("label"),
+        (F.col("o_orderkey") * 7919 % 5).cast("int").alias("fold"),
+    )
+
+
+def _stages():
+    return md.preprocessing(_NUMERIC, _CATEGORICAL)
+
+
+def _numeric_rows(t):
+    return VectorAssembler(inputCols=_NUMERIC, outputCol="features").transform(training_rows(t))
+
+
+def _with_stages(estimator):
+    return Pipeline(stages=[*_stages(), estimator])
+
+
+def _round(df, digits=6):
+    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema.fields if f.dataType.simpleString() == "double"})
+
+
+@query("m10_preprocessing_pipeline")
+def preprocessing_pipeline(t):
+    """Vector length and mean of the scaled part, fitted on the training folds."""
+    rows = training_rows(t)
+    model = Pipeline(stages=_stages()).fit(rows.filter("fold <> 0"))
+    out = model.transform(rows).select("fold", F.size(md.vector_to_array("features")).alias("size"), md.vector_to_array("features")[0].alias("x"))
+    return _round(out.groupBy((F.col("fold") == 0).alias("held_out")).agg(F.count("*").alias("n"), F.max("size").alias("size"), F.avg("x").alias("mean")), 3)
+
+
+@query("m11_pca")
+def pca(t):
+    rows = t.embeddings.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    found = md.pca_loadings(md.pca(rows, "v", 2), t.spark)
+    return _round(found.groupBy("component").agg(
+        F.count("*").alias("dimensions"), F.max("explained").alias("explained"), F.sum(F.col("loading") ** 2).alias("norm")))
+
+
+@query("m20_impurity_table", """
+    WITH f AS (SELECT o_orderstatus AS y, o_orderpriority AS priority, CASE WHEN o_totalprice > 250000 THEN 'high' ELSE 'low' END AS price FROM orders),
+      c AS (SELECT 'priority' AS feature, priority AS value, y, count(*) AS c FROM f GROUP BY ALL UNION ALL SELECT 'price', price, y, count(*) FROM f GROUP BY ALL),
+      n AS (SELECT feature, value, sum(c) AS n, 1 - sum((c / t) * (c / t)) AS gini, -sum((c / t) * log2(c / t)) AS entropy FROM
+            (SELECT *, sum(c) OVER (PARTITION BY feature, value) AS t FROM c) GROUP BY feature, value)
+    SELECT feature, value, CAST(n AS BIGINT) AS n, round(gini, 6) AS gini, round(entropy, 6) AS entropy,
+      round(sum(n * gini) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature), 6) AS weighted_gini,
+      round(sum(n * entropy) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature), 6) AS weighted_entropy FROM n""")
+def impurity_table(t):
+    rows = t.orders.select(
+        F.col("o_orderstatus").alias("y"), F.col("o_orderpriority").alias("priority"),
+        F.when(F.col("o_totalprice") > 250000, "high").otherwise("low").alias("price"))
+    return _round(md.impurity_table(rows, ["priority", "price"], "y"))
+
+
+@query("m21_decision_tree_depths")
+def decision_tree_depths(t):
+    rows = _numeric_rows(t)
+    return _round(md.depth_sweep(rows.filter("fold <> 0"), rows.filter("fold = 0"), "label", [1, 3, 5]))
+
+
+@query("m22_random_forest")
+def random_forest(t):
+    rows = _numeric_rows(t)
+    model = md.random_forest(10, 5, 1).fit(rows.filter("fold <> 0"))
+    weights = model.featureImportances.toArray()
+    importance = literal_table(t.spark, [(n, float(w), len(model.trees)) for n, w in zip(_NUMERIC, weights)], "feature string, importance double, trees int")
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    accuracy = model.transform(rows.filter("fold = 0")).agg(hit).scalar()
+    return _round(importance.withColumn("accuracy", accuracy))
+
+
+def _test_scores(t, estimator):
+    rows = training_rows(t)
+    found = md.fit_predict(_with_stages(estimator), rows.filter("fold <> 0"), rows.filter("fold = 0"), ["o_orderkey", "label"])
+    return _round(ev.overall_metrics(found, "label", "prediction").withColumn("auc", ev.roc_auc(found, "score", "label").scalar()))
+
+
+@query("m23_boosted_trees")
+def boosted_trees(t):
+    return _test_scores(t, md.boosted_trees(5, 3, 0.3, 1))
+
+
+@query("m24_logistic_regression")
+def logistic_regression(t):
+    n = t.orders.count()
+    l2 = _test_scores(t, md.logistic(n, 1.0, "l2", maxIter=20)).withColumn("penalty", F.lit("l2"))
+    return l2.unionByName(_test_scores(t, md.logistic(n, 0.1, "l1", maxIter=20)).withColumn("penalty", F.lit("l1")))
+
+
+@query("m25_simple_regression", """
+    SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept,
+      round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem GROUP BY l_returnflag""")
+def simple_regression(t):
+    found = md.simple_regression(t.lineitem, "l_quantity", "l_extendedprice", ["l_returnflag"])
+    return found.select("l_returnflag", F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+@query("m25_gradient_step", """
+    WITH e AS (SELECT 0.5 + 0.2 * l_discount + 0.1 * l_tax - l_quantity AS e, l_discount AS d, l_tax AS x FROM lineitem)
+    SELECT round(avg(e * e) / 2, 5) AS loss, round(0.5 - 0.01 * avg(e), 6) AS bias, round(0.2 - 0.01 * avg(e * d), 6) AS l_discount, round(0.1 - 0.01 * avg(e * x), 6) AS l_tax FROM e""")
+def gradient_step(t):
+    found = md.gradient_step(t.lineitem, ["l_discount", "l_tax"], "l_quantity", {"l_discount": 0.2, "l_tax": 0.1}, 0.5, 0.01)
+    return found.select(F.round("loss", 5).alias("loss"), *[F.round(c, 6).alias(c) for c in ("bias", "l_discount", "l_tax")])
+
+
+@query("m25_linear_regression", """
+    WITH c AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+    SELECT count(*) AS n, round(avg(abs(a + b * l_quantity - l_extendedprice)), 3) AS mae FROM lineitem, c""")
+def linear_regression(t):
+    model = md.linear_regression(t.lineitem, ["l_quantity"], "l_extendedprice")
+    error = F.abs(F.col("prediction") - F.col("l_extendedprice"))
+    return model.transform(t.lineitem).agg(F.count("*").alias("n"), F.round(F.avg(error), 3).alias("mae"))
+
+
+_CENTERS = "c AS (SELECT label AS cluster, list_transform(arg_min(embedding, vec_id), lambda x: x::DOUBLE) AS center FROM embeddings GROUP BY label)"
+_PLACED = f"""{_CENTERS}, a AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v, cluster,
+      list_sum(list_transform(list_zip(embedding, center), lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))) AS d FROM embeddings, c),
+    p AS (SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d, any_value(v) AS v FROM a GROUP BY vec_id)"""
+
+
+def _centers(t):
+    return t.embeddings.groupBy(F.col("label").alias("cluster")).agg(F.min_by("embedding", "vec_id").cast("array<double>").alias("center"))
+
+
+def _placed(t):
+    return cl.assign_to_centers(t.embeddings, "embedding", _centers(t), "cluster", "center")
+
+
+@query("m26_lloyd_assign", f"WITH {_PLACED} SELECT vec_id, cluster, round(d, 5) AS squared_distance FROM p")
+def lloyd_assign(t):
+    return _placed(t).select("vec_id", "cluster", F.round("squared_distance", 5).alias("squared_distance"))
+
+
+@query("m26_lloyd_update", f"""
+    WITH {_PLACED}, u AS (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM p)
+    SELECT cluster, CAST(i - 1 AS INTEGER) AS dimension, round(avg(x), 5) AS value FROM u GROUP BY cluster, i""")
+def lloyd_update(t):
+    means = cl.cluster_means(_placed(t), "embedding", "cluster")
+    return means.select("cluster", F.posexplode("center").alias("dimension", "value")).withColumn("value", F.round("value", 5))
+
+
+@query("m26_elbow")
+def elbow(t):
+    return _round(cl.elbow(t.embeddings, "embedding", range(1, 9), 3), 3)
+
+
+_EPS, _MIN = 0.03, 5
+_DB = f"""p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    nb AS (SELECT a.id AS i, b.id AS j FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {_EPS}::DOUBLE * {_EPS}::DOUBLE),
+    core AS (SELECT i FROM nb GROUP BY i HAVING count(*) >= {_MIN}),
+    ce AS (SELECT nb.i, nb.j FROM nb JOIN core a ON a.i = nb.i JOIN core b ON b.i = nb.j),
+    reach AS (SELECT i AS root, i AS node FROM core UNION SELECT reach.root, ce.j FROM reach JOIN ce ON ce.i = reach.node),
+    named AS (SELECT node AS id, min(root) AS cluster FROM reach GROUP BY node),
+    border AS (SELECT nb.i AS id, min(named.cluster) AS cluster FROM nb JOIN named ON named.id = nb.j WHERE nb.i NOT IN (SELECT i FROM core) GROUP BY nb.i),
+    db AS (SELECT p.id AS vec_id, COALESCE(n.cluster, b.cluster, -1) AS cluster,
+      CASE WHEN n.cluster IS NOT NULL THEN 'core' WHEN b.cluster IS NOT NULL THEN 'border' ELSE 'noise' END AS kind
+      FROM p LEFT JOIN named n ON n.id = p.id LEFT JOIN border b ON b.id = p.id)"""
+
+
+def _plane(t):
+    e = F.col("embedding").cast("array<double>")
+    return t.embeddings.select("vec_id", e[0].alias("x"), e[1].alias("y"))
+
+
+@query("m27_dbscan", f"WITH RECURSIVE {_DB} SELECT vec_id, cluster, kind FROM db")
+def dbscan(t):
+    return cl.dbscan(_plane(t), "vec_id", "x", "y", _EPS, _MIN)
+
+
+@query("m27_eps_sweep")
+def eps_sweep(t):
+    return cl.eps_sweep(_plane(t), "vec_id", "x", "y", [0.02, 0.04], _MIN)
+
+
+_REFERENCE = "r AS (SELECT label, list_transform(arg_min(embedding, vec_id), lambda x: x::DOUBLE) AS w FROM embeddings GROUP BY label)"
+
+
+@query("m28_distances", f"""
+    WITH {_REFERENCE}, d AS (SELECT vec_id, list_transform(list_zip(embedding, w), lambda z: abs(z[1]::DOUBLE - z[2])) AS d FROM embeddings e JOIN r ON r.label = e.label)
+    SELECT vec_id, round(list_sum(d), 6) AS l1, round(sqrt(list_sum(list_transform(d, lambda x: x * x))), 6) AS l2, round(list_max(d), 6) AS linf FROM d""")
+def distances(t):
+    reference = t.embeddings.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("w"))
+    v, w = F.col("embedding"), F.col("w")
+    return t.embeddings.join(reference, "label").select(
+        "vec_id", F.round(vectors.l1(v, w), 6).alias("l1"), F.round(vectors.l2(v, w), 6).alias("l2"), F.round(vectors.linf(v, w), 6).alias("linf"))
+
+
+_NEAR = """n AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d, b.label
+      FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+    k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rank FROM n QUALIFY rank <= 5)"""
+
+
+@query("m29_nearest_neighbours", f"WITH {_NEAR} SELECT vec_id, neighbour, rank, round(d, 5) AS distance FROM k")
+def nearest_neighbours(t):
+    found = nb.knn_join(t.embeddings, t.embeddings, "vec_id", "vec_id", "embedding", 5, exclude_self=True)
+    return found.withColumn("distance", F.round("distance", 5))
+
+
+@query("m29_knn_vote", f"""
+    WITH {_NEAR}, v AS (SELECT vec_id, label, count(*) AS n FROM k GROUP BY ALL)
+    SELECT vec_id, CAST(arg_min(label, (-n, label)) AS BIGINT) AS predicted FROM v GROUP BY vec_id""")
+def knn_vote(t):
+    found = nb.knn_join(t.embeddings, t.embeddings, "vec_id", "vec_id", "embedding", 5, exclude_self=True)
+    votes = nb.knn_vote(found, t.embeddings, "vec_id", "vec_id", "label")
+    return votes.withColumn("predicted", F.col("predicted").cast("long"))
+
+
+@query("m30_stacking")
+def stacking(t):
+    rows = _numeric_rows(t)
+    n = t.orders.count()
+    bases = {"tree": md.decision_tree(4), "logit": md.logistic(n, 1.0, maxIter=10)}
+    table, model = md.stack(bases, md.logistic(n, 1.0, maxIter=10), rows, "o_orderkey", "label", "fold", 3)
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return _round(model.transform(table).agg(F.count("*").alias("n"), hit.alias("accuracy")))
+
+
+@query("m31_bagging")
+def bagging(t):
+    votes, report = md.bagging(lambda tree: md.decision_tree(4, seed=tree), _numeric_rows(t), "o_orderkey", "label", 5, 11)
+    return _round(report)
+
+
+_FOLDS = """r AS (SELECT o_orderkey, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY (o_orderkey * 7919) % 10007, o_orderkey) - 1) % 5 AS fold, o_orderstatus FROM orders)"""
+
+
+@query("m32_fold_ids", f"WITH {_FOLDS} SELECT o_orderkey, CAST(fold AS BIGINT) AS fold FROM r")
+def fold_ids(t):
+    order = ((F.col("o_orderkey") * 7919) % 10007).cast("double")
+    found = ft.fold_ids(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", order, "o_orderkey", 5)
+    return found.select("o_orderkey", F.col("fold").cast("long").alias("fold"))
+
+
+@query("m32_cross_validation")
+def cross_validation(t):
+    models = {"tree": md.decision_tree(4), "forest": md.random_forest(5, 4, 1)}
+    folds = md.cross_validate(models, _numeric_rows(t), "label", "fold", 3)
+    return _round(md.summarise_folds(folds, "auc"))
+
+
+@query("m33_grid_search")
+def grid_search(t):
+    configs = md.grid(depth=[2, 4], leaf=[1, 20])
+    best, _, table = md.grid_search(lambda **c: md.decision_tree(**c), configs, _numeric_rows(t), "label", "fold", 2)
+    return _round(table.withColumn("best", F.lit(str(best))))
+
+
+@query("m34_out_of_fold", "SELECT o_orderkey, 1 AS predictions FROM orders")
+def out_of_fold(t):
+    """Each row gets exactly one prediction."""
+    found = md.out_of_fold(md.decision_tree(3), _numeric_rows(t), "fold", 5, ["o_orderkey"])
+    return found.groupBy("o_orderkey").agg(F.count("prediction").cast("int").alias("predictions"))
+
+
+@query("m35_ablation")
+def ablation(t):
+    rows = training_rows(t)
+    variants = {
+        "reference": Pipeline(stages=[VectorAssembler(inputCols=_NUMERIC, outputCol="features"), md.decision_tree(4)]),
+        "price only": Pipeline(stages=[VectorAssembler(inputCols=["price"], outputCol="features"), md.decision_tree(4)]),
+    }
+    return _round(md.ablation(variants, "reference", rows, "label", "fold", 2, 0.005, -0.005))
+
+
+@query("m36_seed_stability")
+def seed_stability(t):
+    rows = _numeric_rows(t)
+    return _round(md.seed_stability(
+        lambda s: md.random_forest(3, 3, s), rows.filter("fold <> 0"), rows.filter("fold = 0"), "label", [1, 2, 3, 4, 5]))
+
+
+@query("m37_group_baseline", """
+    WITH h AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16'), n AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
+      a AS (SELECT user_id, hour(ts) AS hr, isodow(ts) AS wd, avg(value) AS m FROM h GROUP BY ALL),
+      b AS (SELECT user_id, hour(ts) AS hr, avg(value) AS m FROM h GROUP BY ALL), c AS (SELECT user_id, avg(value) AS m FROM h GROUP BY ALL)
+    SELECT event_id, round(COALESCE(a.m, b.m, c.m, (SELECT avg(value) FROM h)), 4) AS baseline FROM n
+    LEFT JOIN a ON a.user_id = n.user_id AND a.hr = hour(n.ts) AND a.wd = isodow(n.ts)
+    LEFT JOIN b ON b.user_id = n.user_id AND b.hr = hour(n.ts) LEFT JOIN c ON c.user_id = n.user_id""")
+def group_baseline(t):
+    rows = t.events.withColumns({"hr": F.hour("ts"), "wd": F.weekday("ts")})
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    found = mo.group_baseline(
+        rows.filter(F.col("ts") < cut), rows.filter(F.col("ts") >= cut), [["user_id", "hr", "wd"], ["user_id", "hr"], ["user_id"]], "value", "baseline")
+    return found.select("event_id", F.round("baseline", 4).alias("baseline"))
+
+
+def _silhouette_sql(distance):
+    return f"""
+    WITH d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum({distance}) AS s, count(*) FILTER (WHERE a.vec_id <> b.vec_id) AS n
+      FROM embeddings a CROSS JOIN embeddings b GROUP BY ALL),
+      m AS (SELECT vec_id, own, max(CASE WHEN own = other THEN s / nullif(n, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY ALL)
+    SELECT vec_id, own AS label, round(COALESCE((b - a) / greatest(a, b), 0), 5) AS silhouette FROM m"""
+
+
+_L2 = "list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
+
+
+@query("m38_silhouette_squared", _silhouette_sql(f"{_L2} * {_L2}"))
+def silhouette_squared(t):
+    found = cl.silhouette_squared(t.embeddings, "vec_id", "embedding", "label")
+    return found.withColumn("silhouette", F.round("silhouette", 5))
+
+
+@query("m38_silhouette_euclidean", _silhouette_sql(_L2))
+def silhouette_euclidean(t):
+    found = cl.silhouette_euclidean(t.embeddings, "vec_id", "embedding", "label")
+    return found.select("vec_id", F.col("label").cast("int").alias("label"), F.round("silhouette", 5).alias("silhouette"))
+
+
+@query("m39_rolling_origin", """
+    WITH p AS (SELECT event_id, value, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 604800000000 AS period FROM events),
+      m AS (SELECT f.k AS fold, avg(value) AS mean, count(*) AS train_rows FROM range(1, 5) f(k) JOIN p ON p.period < f.k GROUP BY f.k)
+    SELECT fold, train_rows, count(*) AS test_rows, round(avg(abs(value - mean)), 5) AS mae FROM m JOIN p ON p.period = m.fold GROUP BY ALL""")
+def rolling_origin(t):
+    start = timejoin.micros(F.lit("2024-01-01").cast("timestamp_ntz"))
+    period = F.floor((timejoin.micros("ts") - start) / F.lit(604_800_000_000)).cast("long")
+    rows = t.events.select("value", period.alias("period"))
+    return md.rolling_origin_mean(rows, "period", "value", range(1, 5)).withColumn("mae", F.round("mae", 5))
+
+
+@query("m40_linear_svm")
+def linear_svm(t):
+    return _test_scores(t, md.linear_svm(1.0, t.orders.count(), maxIter=10))
+
+
+@query("e12_permutation_importance")
+def permutation_importance(t):
+    rows = training_rows(t)
+    stages = [VectorAssembler(inputCols=_NUMERIC, outputCol="features"), md.decision_tree(5)]
+    model = Pipeline(stages=stages).fit(rows.filter("fold <> 0"))
+    return _round(md.permutation_importance(model, rows.filter("fold = 0"), "o_orderkey", "label", _NUMERIC, 3))
+
+
+@query("e13_leaf_support")
+def leaf_support(t):
+    rows = _numeric_rows(t)
+    model = md.decision_tree(6).fit(rows.filter("fold <> 0"))
+    return md.leaf_support(model, rows.filter("fold <> 0"), 5)

@@ -50,11 +50,11 @@ def feature_service(t):
 
 @query("x2_historical_retrieval", """
     WITH f AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type <> 'purchase'),
-         r AS (SELECT event_id AS request_id, user_id, ts AS at FROM events WHERE event_type = 'purchase'),
-         m AS (SELECT request_id, r.user_id, f.ts, value, row_number() OVER (PARTITION BY request_id ORDER BY f.ts DESC NULLS LAST) AS k, at
-               FROM r LEFT JOIN f ON f.user_id = r.user_id AND f.ts <= r.at)
-    SELECT request_id, user_id, CASE WHEN at - ts <= INTERVAL 1 DAY THEN value END AS current_count,
-      CAST(CASE WHEN at - ts <= INTERVAL 1 DAY THEN hour(ts) END AS DOUBLE) AS hour_of_day FROM m WHERE k = 1""")
+         r AS (SELECT event_id AS request_id, user_id, ts AS req_at FROM events WHERE event_type = 'purchase'),
+         m AS (SELECT request_id, r.user_id, f.ts, value, row_number() OVER (PARTITION BY request_id ORDER BY f.ts DESC NULLS LAST) AS k, req_at
+               FROM r LEFT JOIN f ON f.user_id = r.user_id AND f.ts <= r.req_at)
+    SELECT request_id, user_id, CASE WHEN req_at - ts <= INTERVAL 1 DAY THEN value END AS current_count,
+      CAST(CASE WHEN req_at - ts <= INTERVAL 1 DAY THEN hour(ts) END AS DOUBLE) AS hour_of_day FROM m WHERE k = 1""")
 def historical_retrieval(t):
     requests = t.events.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("request_id"), "user_id", F.col("ts").alias("at")
