@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -66,7 +67,7 @@ def with_cells(
 
 
 def _prefix(
-    celled: DataFrame, sums: Mapping[str, Column], keys: Sequence[str], totals: bool
+    celled: DataFrame, sums: Mapping[str, Column], keys: Sequence[str], totals: bool, keep: bool = False
 ) -> DataFrame:
     per_cell = celled.groupBy(*keys, CELL).agg(*[c.alias(f"__a_{n}") for n, c in sums.items()])
     before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +79,8 @@ def _prefix(
     ]
     if totals:
         picked += [F.sum(f"__a_{n}").over(everything).alias(f"total_{n}") for n in sums]
-    return per_cell.select(*keys, CELL, *picked)
+    own = [f"__a_{n}" for n in sums] if keep else []
+    return per_cell.select(*keys, CELL, *own, *picked)
 
 
 def row_numbers(
@@ -141,33 +143,41 @@ def exact_quantiles(
     """Exact interpolated quantiles per group.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    task. Here the values are counted first, then located by running counts.
+    task. Here rows are only counted per (group, cell) first, which combines
+    before the shuffle; the counts tell which few cells hold the wanted
+    positions, and only the values of those cells are shuffled and ordered.
     """
+    values = df.select(*keys, F.col(column).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    celled = with_cells(values, "__v", None, _MAX_CELLS // 2)
+    prefix = _prefix(celled, {"n": F.count(F.lit(1))}, keys, True, keep=True)
+    places: dict[str, Column] = {}
+    for name, p in probabilities.items():
+        position = (F.col("total_n") - 1) * F.lit(float(p))
+        places[f"lo_{name}"], places[f"hi_{name}"] = F.floor(position), F.ceil(position)
+        places[f"f_{name}"] = position - F.floor(position)
+    wanted = [places[f"{side}_{n}"] for n in probabilities for side in ("lo", "hi")]
+    inside = [(w >= F.col("__before_n")) & (w < F.col("__before_n") + F.col("__a_n")) for w in wanted]
+    targets = prefix.filter(reduce(lambda x, y: x | y, inside)).select(
+        *keys, CELL, "__before_n", *[c.alias(f"__{n}") for n, c in places.items()]
+    )
+    carried = ["__before_n", *[f"__{n}" for n in places]]
     counts = (
-        df.select(*keys, F.col(column).cast("double").alias("__v"))
-        .filter(F.col("__v").isNotNull())
-        .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        celled.join(targets, [*keys, CELL])
+        .groupBy(*keys, CELL, "__v")
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in carried])
     )
-    stepped = running_sums(counts, "__v", {"__hi": "__n"}, keys, totals=True)
-    picks, names = [], []
-    for name, p in probabilities.items():
-        position = (F.col("total___hi") - 1) * F.lit(float(p))
-        for side, place in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            inside = (place >= F.col("__hi") - F.col("__n")) & (place < F.col("__hi"))
-            picks.append(F.max(F.when(inside, F.col("__v"))).alias(f"__{side}_{name}"))
-        picks.append(F.max(position - F.floor(position)).alias(f"__f_{name}"))
-        names.append(name)
+    upto = Window.partitionBy(*keys, CELL).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stepped = counts.withColumn("__hi_pos", F.col("__before_n") + F.sum("__n").over(upto))
+    picks = []
+    for name in probabilities:
+        for side in ("lo", "hi"):
+            place = F.col(f"__{side}_{name}")
+            hit = (place >= F.col("__hi_pos") - F.col("__n")) & (place < F.col("__hi_pos"))
+            picks.append(F.max(F.when(hit, F.col("__v"))).alias(f"{side}_{name}"))
+        picks.append(F.max(f"__f_{name}").alias(f"f_{name}"))
     found = stepped.groupBy(*keys).agg(*picks)
-    return found.select(
-        *keys,
-        *[
-            (
-                F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")
-            ).alias(n)
-            for n in names
-        ],
-    )
+    low, high, share = ({n: F.col(f"{s}_{n}") for n in probabilities} for s in ("lo", "hi", "f"))
+    return found.select(*keys, *[(low[n] + (high[n] - low[n]) * share[n]).alias(n) for n in probabilities])
 
 
 def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column]) -> DataFrame:

@@ -300,7 +300,7 @@ def seed_stability(t):
     WITH h AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16'), n AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
       a AS (SELECT user_id, hour(ts) AS hr, isodow(ts) AS wd, avg(value) AS m FROM h GROUP BY ALL),
       b AS (SELECT user_id, hour(ts) AS hr, avg(value) AS m FROM h GROUP BY ALL), c AS (SELECT user_id, avg(value) AS m FROM h GROUP BY ALL)
-    SELECT event_id, round(COALESCE(a.m, b.m, c.m, (SELECT avg(value) FROM h)), 4) AS baseline FROM n
+    SELECT event_id, round(COALESCE(a.m, b.m, c.m, (SELECT avg(value) FROM h)), 8) AS baseline FROM n
     LEFT JOIN a ON a.user_id = n.user_id AND a.hr = hour(n.ts) AND a.wd = isodow(n.ts)
     LEFT JOIN b ON b.user_id = n.user_id AND b.hr = hour(n.ts) LEFT JOIN c ON c.user_id = n.user_id""")
 def group_baseline(t):
@@ -308,7 +308,7 @@ def group_baseline(t):
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     found = mo.group_baseline(
         rows.filter(F.col("ts") < cut), rows.filter(F.col("ts") >= cut), [["user_id", "hr", "wd"], ["user_id", "hr"], ["user_id"]], "value", "baseline")
-    return found.select("event_id", F.round("baseline", 4).alias("baseline"))
+    return found.select("event_id", F.round("baseline", 8).alias("baseline"))
 
 
 def _silhouette_sql(distance):

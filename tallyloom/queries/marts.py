@@ -11,7 +11,7 @@ from tallyloom.sources import files
 _BUCKET = "time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01')"
 _STAR = f"""
     taxi AS (SELECT {_BUCKET} AS timestamp_30min, 'Area ' || user_id AS area, count(*) AS taxi_count FROM events GROUP BY ALL),
-    rain AS (SELECT {_BUCKET} AS timestamp_30min, 'Area ' || user_id AS area, round(avg(value), 2) AS rainfall_mm
+    rain AS (SELECT {_BUCKET} AS timestamp_30min, 'Area ' || user_id AS area, round(avg(value), 8) AS rainfall_mm
              FROM events WHERE event_type = 'error' GROUP BY ALL),
     weather AS (SELECT {_BUCKET} AS timestamp_30min, 'Area ' || user_id AS area, min(props) AS weather_forecast
                 FROM events WHERE event_type = 'view' GROUP BY ALL),
@@ -33,7 +33,7 @@ def staged_taxi(t):
 
 def staged_rain(t):
     errors = _snapshots(t).filter(F.col("event_type") == "error")
-    return errors.groupBy("timestamp_30min", "area").agg(F.round(F.avg("value"), 2).alias("rainfall_mm"))
+    return errors.groupBy("timestamp_30min", "area").agg(F.round(F.avg("value"), 8).alias("rainfall_mm"))
 
 
 def staged_weather(t):

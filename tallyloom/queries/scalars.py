@@ -115,14 +115,14 @@ def fill_by_column(t):
 
 @query("f12_math", """
     SELECT event_id, round(sqrt(value * value + user_id * user_id), 4) AS distance,
-           round(log2(value), 4) AS log2_value, round(abs(value - 100), 4) AS gap,
+           CASE WHEN value > 0 THEN round(log2(value), 4) END AS log2_value, round(abs(value - 100), 4) AS gap,
            value / (user_id + 1) AS ratio FROM events""")
 def math(t):
     v, u = F.col("value"), F.col("user_id")
     return t.events.select(
         "event_id",
         F.round(F.sqrt(v * v + u * u), 4).alias("distance"),
-        F.round(F.log2(v), 4).alias("log2_value"),
+        F.when(v > 0, F.round(F.log2(v), 4)).alias("log2_value"),
         F.round(F.abs(v - 100), 4).alias("gap"),
         (v / (u + 1)).alias("ratio"),
     )

@@ -60,19 +60,21 @@ def lag_demand(t):
 @query("w5_rolling_features", """
     SELECT event_id,
       round(avg(value) OVER w, 4) AS rolling_avg, max(value) OVER w AS rolling_max,
-      CASE WHEN count(*) OVER w > 1 THEN
+      CASE WHEN max(epoch_us(ts)) OVER w - min(epoch_us(ts)) OVER w >= 60000000 THEN
         round(regr_slope(value, (epoch_us(ts) - 1704067200000000) / 3600000000.0) OVER w, 3) END AS trend_per_hour
     FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW)""")
 def rolling_features(t):
     def measures(frame):
         w = frame(7200)
+        spread = F.max(timejoin.micros("ts")).over(w) - F.min(timejoin.micros("ts")).over(w)
         hours = (timejoin.micros("ts") - F.lit(1704067200000000)) / F.lit(3.6e9)
         return {
             "rolling_avg": F.round(F.avg("value").over(w), 4),
             "rolling_max": F.max("value").over(w),
+            # A trend needs points that are at least a minute apart.
             "trend_per_hour": F.when(
-                F.count("*").over(w) > 1, F.round(F.regr_slope(F.col("value"), hours).over(w), 3)
+                spread >= 60_000_000, F.round(F.regr_slope(F.col("value"), hours).over(w), 3)
             ),
         }
 
