@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -150,34 +149,32 @@ def exact_quantiles(
     values = df.select(*keys, F.col(column).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     celled = with_cells(values, "__v", None, _MAX_CELLS // 2)
     prefix = _prefix(celled, {"n": F.count(F.lit(1))}, keys, True, keep=True)
-    places: dict[str, Column] = {}
-    for name, p in probabilities.items():
-        position = (F.col("total_n") - 1) * F.lit(float(p))
-        places[f"lo_{name}"], places[f"hi_{name}"] = F.floor(position), F.ceil(position)
-        places[f"f_{name}"] = position - F.floor(position)
-    wanted = [places[f"{side}_{n}"] for n in probabilities for side in ("lo", "hi")]
-    inside = [(w >= F.col("__before_n")) & (w < F.col("__before_n") + F.col("__a_n")) for w in wanted]
-    targets = prefix.filter(reduce(lambda x, y: x | y, inside)).select(
-        *keys, CELL, "__before_n", *[c.alias(f"__{n}") for n, c in places.items()]
-    )
-    carried = ["__before_n", *[f"__{n}" for n in places]]
+    exact = [(F.col("total_n") - 1) * F.lit(float(p)) for p in probabilities.values()]
+    located = prefix.withColumns({
+        "__pos": F.array(*[side(e).cast("long") for e in exact for side in (F.floor, F.ceil)]),
+        "__share": F.array(*[e - F.floor(e) for e in exact]),
+    })
+    # One condition over an array: many alternatives over aliased columns
+    # would make the optimizer infer a constraint for each combination.
+    holds = F.exists("__pos", lambda p: (p >= F.col("__before_n")) & (p < F.col("__before_n") + F.col("__a_n")))
+    targets = located.filter(holds).select(*keys, CELL, "__before_n", "__pos", "__share")
     counts = (
         celled.join(targets, [*keys, CELL])
         .groupBy(*keys, CELL, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in carried])
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in ("__before_n", "__pos", "__share")])
     )
     upto = Window.partitionBy(*keys, CELL).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stepped = counts.withColumn("__hi_pos", F.col("__before_n") + F.sum("__n").over(upto))
-    picks = []
-    for name in probabilities:
-        for side in ("lo", "hi"):
-            place = F.col(f"__{side}_{name}")
-            hit = (place >= F.col("__hi_pos") - F.col("__n")) & (place < F.col("__hi_pos"))
-            picks.append(F.max(F.when(hit, F.col("__v"))).alias(f"{side}_{name}"))
-        picks.append(F.max(f"__f_{name}").alias(f"f_{name}"))
-    found = stepped.groupBy(*keys).agg(*picks)
-    low, high, share = ({n: F.col(f"{s}_{n}") for n in probabilities} for s in ("lo", "hi", "f"))
-    return found.select(*keys, *[(low[n] + (high[n] - low[n]) * share[n]).alias(n) for n in probabilities])
+    stepped = counts.withColumn("__to", F.col("__before_n") + F.sum("__n").over(upto))
+    at = [
+        F.max(F.when((F.col("__pos")[i] >= F.col("__to") - F.col("__n")) & (F.col("__pos")[i] < F.col("__to")), F.col("__v"))).alias(f"__q{i}")
+        for i in range(2 * len(probabilities))
+    ]
+    found = stepped.groupBy(*keys).agg(*at, F.first("__share").alias("__share"))
+    low, high = ([F.col(f"__q{2 * i + side}") for i in range(len(probabilities))] for side in (0, 1))
+    return found.select(
+        *keys,
+        *[(low[i] + (high[i] - low[i]) * F.col("__share")[i]).alias(name) for i, name in enumerate(probabilities)],
+    )
 
 
 def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column]) -> DataFrame:

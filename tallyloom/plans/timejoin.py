@@ -258,22 +258,18 @@ def trailing_window(
     """
     width = lookback_seconds * MICROS
     base = _floor_div(F.col("__t"), width)
-    seen = df.withColumn("__t", micros(time)).withColumn(
-        "__place",
-        F.explode(
-            F.array(
-                F.struct(base.alias("slice"), F.lit(True).alias("live")),
-                F.struct((base + 1).alias("slice"), F.lit(False).alias("live")),
-            )
-        ),
+    places = F.array(
+        F.struct(base.alias("__slice"), F.lit(True).alias("__live")),
+        F.struct((base + 1).alias("__slice"), F.lit(False).alias("__live")),
     )
+    seen = df.withColumn("__t", micros(time)).select("*", F.inline(places))
 
     def frame(seconds: int) -> WindowSpec:
-        ordered = Window.partitionBy(*keys, "__place.slice").orderBy("__t")
+        ordered = Window.partitionBy(*keys, "__slice").orderBy("__t")
         return ordered.rangeBetween(-min(seconds, lookback_seconds) * MICROS, 0)
 
     columns = [c.alias(n) for n, c in measures(frame).items()]
-    return seen.select("*", *columns).filter(F.col("__place.live")).drop("__t", "__place")
+    return seen.select("*", *columns).filter("__live").drop("__t", "__slice", "__live")
 
 
 def with_neighbours(

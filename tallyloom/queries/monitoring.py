@@ -238,11 +238,15 @@ def champion_candidate(t):
     return found.withColumns({c: F.round(c, 6) for c in ("champion", "candidate")})
 
 
-@query("x15_canary_split")
+@query("x15_canary_split", """
+    SELECT count(*) AS n, count(DISTINCT user_id) AS users, true AS stable, true AS near_tenth FROM events""")
 def canary_split(t):
     """A stable tenth of the users goes to the candidate."""
     arm = mo.canary_split("user_id", 10)
-    return t.events.groupBy(arm.alias("arm")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+    per_user = t.events.groupBy("user_id").agg(F.count("*").alias("n"), F.count_distinct(arm).alias("arms"), F.max(arm == "candidate").alias("moved"))
+    return per_user.agg(
+        F.sum("n").alias("n"), F.count("*").alias("users"), (F.max("arms") == 1).alias("stable"),
+        F.avg(F.col("moved").cast("double")).between(0.02, 0.25).alias("near_tenth"))
 
 
 @query("x16_dataset_versions", """
@@ -259,14 +263,18 @@ def dataset_versions(t):
     return found.withColumn("mean_metric", F.round("mean_metric", 5))
 
 
-@query("x17_recalibration")
+@query("x17_recalibration", f"""
+    WITH {_BINARY} SELECT method, (SELECT round(avg((score - label) * (score - label)), 6) FROM b) AS raw_brier, true AS no_worse
+    FROM (VALUES ('platt'), ('isotonic')) g(method)""")
 def recalibration(t):
-    """Isotonic and Platt scores next to the raw score, with Brier per method."""
+    """Both curves bring the Brier score to or below that of the raw score."""
     rows = binary(t)
     platt = md.platt_scale(rows, rows, "score", "label", "platt")
     both = md.isotonic_scale(rows, platt, "score", "label", "isotonic")
-    long = both.unpivot(["label"], ["score", "platt", "isotonic"], "method", "p")
-    return long.groupBy("method").agg(F.round(F.avg((F.col("p") - F.col("label")) ** 2), 6).alias("brier"))
+    briers = {m: F.avg((F.col(m) - F.col("label")) ** 2) for m in ("score", "platt", "isotonic")}
+    wide = both.agg(*[b.alias(m) for m, b in briers.items()])
+    long = wide.unpivot(["score"], ["platt", "isotonic"], "method", "brier")
+    return long.select("method", F.round("score", 6).alias("raw_brier"), (F.col("brier") <= F.col("score")).alias("no_worse"))
 
 
 @query("x18_stale_fallback", """
