@@ -19,7 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.plans.scratch import checkpointed
+from tallyloom.plans.literals import literal_table
+from tallyloom.plans.scratch import checkpointed, materialised
 
 CELL = "__cell"
 _MAX_CELLS = 512
@@ -157,11 +158,12 @@ def exact_quantiles(
     # One condition over an array: many alternatives over aliased columns
     # would make the optimizer infer a constraint for each combination.
     holds = F.exists("__pos", lambda p: (p >= F.col("__before_n")) & (p < F.col("__before_n") + F.col("__a_n")))
-    targets = located.filter(holds).select(*keys, CELL, "__before_n", "__pos", "__share")
+    targets = _small(located.filter(holds).select(*keys, CELL, "__before_n", "__pos", "__share"), keys)
     counts = (
-        celled.join(targets, [*keys, CELL])
+        celled.join(targets.select(*keys, CELL), [*keys, CELL], "left_semi")
         .groupBy(*keys, CELL, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in ("__before_n", "__pos", "__share")])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .join(targets, [*keys, CELL])
     )
     upto = Window.partitionBy(*keys, CELL).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stepped = counts.withColumn("__to", F.col("__before_n") + F.sum("__n").over(upto))
@@ -177,6 +179,20 @@ def exact_quantiles(
     )
 
 
+def _small(targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target cells as a table of known size.
+
+    Spark broadcasts it only below its threshold, and then the values outside
+    the target cells never move. Without groups there are at most two cells per
+    wanted quantile; with groups the table is written once and read back.
+    """
+    if keys:
+        return materialised(targets, "cells")
+    rows = [(r[CELL], r["__before_n"], r["__pos"], r["__share"]) for r in targets.collect()]
+    schema = f"{CELL} bigint, __before_n bigint, __pos array<bigint>, __share array<double>"
+    return literal_table(targets.sparkSession, rows, schema)
+
+
 def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column]) -> DataFrame:
     """One row per distinct value with its average rank and extra aggregates."""
     per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
