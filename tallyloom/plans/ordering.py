@@ -188,9 +188,16 @@ def _small(targets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     if keys:
         return materialised(targets, "cells")
-    rows = [(r[CELL], r["__before_n"], r["__pos"], r["__share"]) for r in targets.collect()]
-    schema = f"{CELL} bigint, __before_n bigint, __pos array<bigint>, __share array<double>"
-    return literal_table(targets.sparkSession, rows, schema)
+    rows = targets.collect()
+    if not rows:
+        return targets
+    cells = literal_table(
+        targets.sparkSession, [(r[CELL], r["__before_n"]) for r in rows], f"{CELL} bigint, __before_n bigint"
+    )
+    # Without groups every row carries the same positions.
+    return cells.withColumns({
+        "__pos": F.lit(rows[0]["__pos"]).cast("array<bigint>"), "__share": F.lit(rows[0]["__share"]).cast("array<double>"),
+    })
 
 
 def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column]) -> DataFrame:
