@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, quality
+from tallyloom.llm import bpe, decontaminate, language, ngram_join, quality
 from tallyloom.llm.common import fold_of
 from tallyloom.session import Tables
 
@@ -78,3 +78,19 @@ def op8(t: Tables) -> DataFrame:
         "row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@query("op5_language_id")
+def op5(t: Tables) -> DataFrame:
+    """Language of every document, learned without the fold of remainder 2."""
+    docs = t.documents
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    guessed = language.identify(docs, language.fit_languages(docs, ~held_out), keep=["doc_id"])
+    return guessed.select("row.doc_id", (fold_of(F.col("row.doc_id"), 4) == 2).alias("held_out"), *language.GUESS.names)
+
+
+@query("op7_ngram_jaccard_join")
+def op7(t: Tables) -> DataFrame:
+    """Class and number of links of every document."""
+    found = ngram_join.jaccard_classes(t.documents.select("doc_id", "text"), keep=["doc_id"])
+    return found.select("row.doc_id", "class_id", "n_links")
