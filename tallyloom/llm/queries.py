@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, language, ngram_join, quality
+from tallyloom.llm import bpe, decontaminate, language, licences, ngram_join, quality
 from tallyloom.llm.common import fold_of
 from tallyloom.session import Tables
 
@@ -94,3 +94,15 @@ def op7(t: Tables) -> DataFrame:
     """Class and number of links of every document."""
     found = ngram_join.jaccard_classes(t.documents.select("doc_id", "text"), keep=["doc_id"])
     return found.select("row.doc_id", "class_id", "n_links")
+
+
+@query("op10_license_scan")
+def op10(t: Tables) -> DataFrame:
+    """Base phrases and licence labels of every document."""
+    scanned = licences.scan_licences(t.documents, keep=["doc_id"])
+    base = F.filter("places", lambda p: p.base)
+    starts = F.transform(base, lambda p: p.start)
+    return scanned.select(
+        "row.doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licences.label_list(base).alias("base_labels"), licences.label_list(F.col("places")).alias("labels"), "score",
+    )
