@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, decontaminate, quality
+from tallyloom.llm import bpe, decontaminate, language, ngram_join, quality
+from tallyloom.llm.common import fold_of
 from tallyloom.plans.scratch import run_dir
 
 
@@ -13,6 +14,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_quality(docs)
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_identified(docs, fold_of(docs["doc_id"], 4) != 2)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_per_class(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -26,6 +35,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", quality_stage),
+    ("language_id", language_stage),
+    ("ngram_jaccard_join", near_copy_stage),
     ("benchmark_decontamination", decontamination_stage),
     ("bpe_encoding", encoding_stage),
 ]

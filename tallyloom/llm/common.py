@@ -32,7 +32,7 @@ def fields(**kinds: str | DataType) -> StructType:
     return StructType([StructField(name, kind(k)) for name, k in kinds.items()])
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
     """Arrow batches of a bounded number of rows and bytes, so that long texts don't pile up in a task.
 
     Local Python workers also get this package's place; on a cluster the package is installed or sent with ``--py-files``.

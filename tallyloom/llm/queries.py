@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, language, licences, ngram_join, quality
+from tallyloom.llm import bpe, chat, decontaminate, language, licences, ngram_join, quality, rollup, scoring, sharding
 from tallyloom.llm.common import fold_of
+from tallyloom.plans.scratch import run_dir
 from tallyloom.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +107,85 @@ def op10(t: Tables) -> DataFrame:
         "row.doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         licences.label_list(base).alias("base_labels"), licences.label_list(F.col("places")).alias("labels"), "score",
     )
+
+
+@query("op9_lm_scoring")
+def op9(t: Tables) -> DataFrame:
+    """Context-tree and unigram scores of every document, learned without the fold of remainder 2."""
+    docs = t.documents
+    scored = scoring.score_documents(docs, fold_of(docs["doc_id"], 7) != 2, keep=["doc_id"])
+    return scored.select("row.doc_id", (fold_of(F.col("row.doc_id"), 7) == 2).alias("held_out"), *scoring.SCORES.names)
+
+
+@query("op2_chat_snapshots", sql=r"""
+WITH t AS (
+    SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM conversations
+), c AS (
+    SELECT conv_id, list({'r': role, 't': text} ORDER BY place) AS turns, count(*) AS n FROM t GROUP BY conv_id
+), one AS (
+    SELECT min(conv_id) AS conv_id, turns, n FROM c GROUP BY turns, n
+), kept AS (
+    SELECT conv_id, n FROM one a
+    WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.turns[1] = a.turns[1] AND b.n > a.n AND b.turns[1:a.n] = a.turns)
+)
+SELECT k.conv_id, CAST((place - 1) // 256 AS BIGINT) AS page, CAST(k.n AS BIGINT) AS n_turns,
+       string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY place) AS rendered
+FROM kept k JOIN t ON t.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY k.conv_id, (place - 1) // 256, k.n
+""")
+def op2(t: Tables) -> DataFrame:
+    """All maximal conversations, rendered."""
+    return chat.render_chats(t.conversations)
+
+
+#: Tokenizer versions of the rollup query: white-space words, then words of lower-case terms.
+_VERSIONS = {"space-1": r"[^\x20\x09-\x0D]+", "term-2": r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"}
+
+
+@query("op3_token_rollup", sql=r"""
+WITH d AS (
+    SELECT source, lang, crc32 AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS a,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS b
+    FROM (SELECT *, doc_id % 10 AS crc32 FROM documents)
+), e AS (
+    SELECT source, lang, 'space-1' AS tokenizer, a AS n FROM d WHERE k IN (0, 1, 2, 3, 4, 5)
+    UNION ALL SELECT source, lang, 'term-2', b FROM d WHERE k IN (6, 7)
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM e GROUP BY source, lang, tokenizer
+""")
+def op3(t: Tables) -> DataFrame:
+    """All documents arrive; ids ending in 8 and 9 are deleted, those in 6 and 7 counted anew by the second tokenizer; batches come twice."""
+    docs = t.documents
+    space, term = (rollup.count_tokens(docs["text"], p) for p in _VERSIONS.values())
+    last = docs["doc_id"] % 10
+
+    def change(name: str, version: str, before: Column, after: Column, rows: Column) -> DataFrame:
+        return docs.filter(rows).select(
+            F.concat_ws(":", F.lit(name), docs["doc_id"].cast("string")).alias("change_id"), "source", "lang", F.lit(version).alias("tokenizer"), before.alias("before"), after.alias("after"))
+
+    none = F.lit(None).cast("long")
+    insert = change("insert", "space-1", none, space, F.lit(True))
+    gone = change("delete", "space-1", space, none, last.isin(8, 9))
+    recount = change("drop", "space-1", space, none, last.isin(6, 7)).unionByName(change("recount", "term-2", none, term, last.isin(6, 7)))
+    store = rollup.Rollup(t.spark, run_dir(t.spark, "rollup"))
+    store.commit("inserts", insert)
+    for _ in range(2):
+        store.commit("deletes", gone)
+        store.commit("recounts", recount.unionByName(recount))
+    return store.totals()
+
+
+_SHARDS = [f"shard-{k:02d}" for k in range(64)]
+
+
+@query("op6_shard_table")
+def op6(t: Tables) -> DataFrame:
+    """Slot and shard of every document."""
+    return sharding.place_rows(t.documents, "doc_id", _SHARDS, keep=["doc_id"]).select("row.doc_id", "slot", "shard")
+
+
+#: The table as filled here; tests hold it against a plain re-statement of the rule.
+ORACLES["op6_shard_table"] = f"""
+WITH slots AS (SELECT unnest(range(8191)) AS slot, unnest([{','.join(map(str, sharding.fill_table(_SHARDS, 8191)))}]) AS k)
+SELECT doc_id, CAST(d.slot AS INTEGER) AS slot, 'shard-' || lpad(CAST(k AS VARCHAR), 2, '0') AS shard
+FROM (SELECT doc_id, ('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:15])::BIGINT % 8191 AS slot FROM documents) d JOIN slots USING (slot)
+"""
