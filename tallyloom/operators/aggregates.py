@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.nullsafe import join_on
 from tallyloom.plans.ordering import exact_quantiles
 
 
@@ -47,7 +48,7 @@ def describe(df: DataFrame, column: str, keys: Sequence[str], digits: int) -> Da
     )
     spread = exact_quantiles(df, column, {"q25": 0.25, "median": 0.5, "q75": 0.75}, keys)
     rounded = spread.select(*keys, *[F.round(c, digits).alias(c) for c in ("q25", "median", "q75")])
-    return basic.join(rounded, list(keys), "left")
+    return join_on(basic, rounded, list(keys), "left")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,13 +77,19 @@ def mean_difference(df: DataFrame, keys: Sequence[str], column: str, wrong: Colu
 def histogram(
     df: DataFrame, column: str, low: float, high: float, bins: int, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Equal bins over [low, high], the last one closed, with density."""
+    """Equal bins over [low, high], the last one closed, with density.
+
+    Bin -1 counts the values below and bin ``bins`` those above, without a
+    density; null values are left out.
+    """
     width = (high - low) / bins
-    bin_no = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+    inner = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+    bin_no = F.when(F.col(column) < low, F.lit(-1)).when(F.col(column) > high, F.lit(bins)).otherwise(inner)
     counts = (
-        df.filter(F.col(column).between(low, high))
+        df.filter(F.col(column).isNotNull())
         .groupBy(*keys, bin_no.cast("long").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    total = F.sum("n").over(Window.partitionBy(*keys))  # at most ``bins`` rows per group
-    return counts.withColumn("density", F.col("n") / (total * F.lit(width)))
+    within = F.col("bin").between(0, bins - 1)
+    total = F.sum(F.when(within, F.col("n"))).over(Window.partitionBy(*keys))  # at most ``bins`` + 2 rows per group
+    return counts.withColumn("density", F.when(within, F.col("n") / (total * F.lit(width))))

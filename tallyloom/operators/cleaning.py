@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.plans.nullsafe import join_on
 from tallyloom.plans.literals import literal_table
 from tallyloom.operators.aggregates import value_counts
 from tallyloom.plans.ordering import exact_quantiles
@@ -126,7 +127,7 @@ def outlier_counts(df: DataFrame, keys: Sequence[str], column: str, width: float
     """Rows outside mean +- ``width`` sample deviations of their group."""
     stats = df.groupBy(*keys).agg(F.avg(column).alias("__m"), F.stddev_samp(column).alias("__s"))
     return (
-        df.join(stats, list(keys))
+        join_on(df, stats, list(keys))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("rows"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans import timejoin
+from tallyloom.plans.nullsafe import join_on
 from tallyloom.plans.ordering import exact_quantiles, row_numbers
 
 
@@ -179,7 +180,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
     total = counts.select((F.sum("__c") / F.count(F.lit(1))).alias("t")).scalar()
     weights = counts.select(label, (total / F.col("__c")).alias(out))
-    return df.join(weights, label)
+    return join_on(df, weights, [label])
 
 
 def decay_weight(age_days: Column, half_life_days: float) -> Column:
@@ -199,8 +200,7 @@ def target_encode(df: DataFrame, column: str, target: str, fold: str, smoothing:
     per_fold = cell.groupBy(fold).agg(F.sum("__s").alias("__fs"), F.sum("__c").alias("__fc"))
     every = cell.agg(F.struct(F.sum("__s").alias("s"), F.sum("__c").alias("c")).alias("a")).scalar()
     rest = (
-        cell.join(per_category, column)
-        .join(per_fold, fold)
+        join_on(join_on(cell, per_category, [column]), per_fold, [fold])
         .withColumn("__prior", F.try_divide(every["s"] - F.col("__fs"), every["c"] - F.col("__fc")))
         .withColumn("__s1", F.col("__cs") - F.col("__s"))
         .withColumn("__c1", F.col("__cc") - F.col("__c"))
@@ -209,7 +209,7 @@ def target_encode(df: DataFrame, column: str, target: str, fold: str, smoothing:
         column, fold,
         ((F.col("__s1") + F.lit(smoothing) * F.col("__prior")) / (F.col("__c1") + F.lit(smoothing))).alias(out),
     )
-    return df.join(encoded, [column, fold])
+    return join_on(df, encoded, [column, fold])
 
 
 def fit_categories(train: DataFrame, column: str, limit: int = 1_000) -> list[str]:

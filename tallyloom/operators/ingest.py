@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.plans.literals import literal_table
+from tallyloom.operators.joins import map_of_last
 from tallyloom.operators.selection import keep_first
+from tallyloom.plans.literals import literal_table
 
 _TAXI = """features array<struct<properties: struct<timestamp: string, taxi_count: bigint>,
                   geometry: struct<coordinates: array<array<double>>>>>"""
@@ -36,17 +37,19 @@ def _payload(raw: str, fields: str) -> Column:
 
 
 def flatten_taxi(docs: DataFrame, raw: str, source: str) -> DataFrame:
-    """One row per coordinate pair of the first feature, numbered from 1.
+    """One row per coordinate pair, numbered from 1 within its feature.
+
+    Ids of a second or later feature also carry the feature's number.
 
     A coordinate with fewer than two values keeps its number but gives no row.
     """
-    feature = F.get(F.from_json(F.col(raw), _TAXI)["features"], F.lit(0))
-    rows = docs.select(
-        feature["properties"].alias("p"), F.posexplode(feature["geometry"]["coordinates"]).alias("i", "c")
+    features = docs.select(F.posexplode(F.from_json(F.col(raw), _TAXI)["features"]).alias("f", "feature"))
+    rows = features.select(
+        "f", F.col("feature.properties").alias("p"), F.posexplode("feature.geometry.coordinates").alias("i", "c")
     ).filter(F.size("c") >= 2)
     index = (F.col("i") + 1).cast("long")
     return rows.select(
-        F.concat_ws(":", F.lit("taxi"), "p.timestamp", index).alias("record_id"),
+        F.concat_ws(":", F.lit("taxi"), "p.timestamp", F.when(F.col("f") > 0, F.col("f") + 1), index).alias("record_id"),
         F.col("p.timestamp").alias("api_timestamp"),
         index.alias("taxi_index"),
         F.col("c")[0].alias("longitude"),
@@ -57,10 +60,9 @@ def flatten_taxi(docs: DataFrame, raw: str, source: str) -> DataFrame:
 
 
 def flatten_weather(docs: DataFrame, raw: str, source: str) -> DataFrame:
-    """One row per area forecast of the first item; a missing time stamp is
+    """One row per area forecast of every item; a missing time stamp is
     taken from the other one."""
-    item = F.get(_payload(raw, _ITEMS)["items"], F.lit(0))
-    rows = docs.select(item.alias("it")).select("it", F.explode("it.forecasts").alias("f"))
+    rows = docs.select(F.explode(_payload(raw, _ITEMS)["items"]).alias("it")).select("it", F.explode("it.forecasts").alias("f"))
     update = F.coalesce(F.nullif(F.col("it.update_timestamp"), F.lit("")), F.col("it.timestamp"))
     return rows.select(
         F.concat_ws(":", F.lit("weather"), update, "f.area").alias("record_id"),
@@ -77,11 +79,8 @@ def flatten_weather(docs: DataFrame, raw: str, source: str) -> DataFrame:
 def flatten_rainfall(docs: DataFrame, raw: str, source: str) -> DataFrame:
     """One row per station reading, with the station's name and place."""
     body = _payload(raw, _RAIN)
-    stations = F.map_from_entries(
-        F.array_distinct(
-            F.transform(body["stations"], lambda s: F.struct(F.coalesce(s["id"], s["deviceId"]).alias("k"), s.alias("v")))
-        )
-    )
+    entries = F.transform(body["stations"], lambda s: F.named_struct(F.lit("k"), F.coalesce(s["id"], s["deviceId"]), F.lit("v"), s))
+    stations = map_of_last(entries)
     blocks = docs.select(stations.alias("m"), F.explode(body["readings"]).alias("r"))
     rows = blocks.select("m", F.col("r.timestamp").alias("ts"), F.explode("r.data").alias("d"))
     station = F.try_element_at(F.col("m"), F.col("d.stationId"))
@@ -146,23 +145,31 @@ def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
 
 
 def load_increment(source: DataFrame, column: str, target: str) -> int:
-    """Append rows past the newest row of the target; return how many.
+    """Append rows from the target's newest time on that it does not hold yet; return how many.
 
     The batch is written under the mark it starts from, so repeating a load
-    that died half-way replaces its own folder and never duplicates rows.
+    that died half-way replaces its own folder and never duplicates rows. Rows
+    of the very time of the mark that arrive late are told from loaded ones by
+    their whole content; they and later loads from the same mark share a folder.
     """
     spark = source.sparkSession
     try:
-        mark = spark.read.parquet(target).agg(F.max(column)).first()[0]
+        loaded = spark.read.option("basePath", target).parquet(target)
+        mark = loaded.agg(F.max(column)).first()[0]
     except AnalysisException:
         mark = None
-    batch = newer_than(source, column, mark)
-    label = "start" if mark is None else mark.strftime("%Y%m%dT%H%M%S%f")
+    batch, label, before = source, "start", 0
+    if mark is not None:
+        label = mark.strftime("%Y%m%dT%H%M%S%f")
+        own, others = (loaded.filter(c) for c in (F.col("since") == label, F.col("since") != label))
+        before = own.count()
+        at_mark = others.filter(F.col(column) == F.lit(mark)).select(*source.columns)
+        batch = newer_than(source, column, mark).unionByName(source.filter(F.col(column) == F.lit(mark)).exceptAll(at_mark))
     if batch.isEmpty():
         return 0
     folder = f"{target}/since={label}"
     batch.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder).count()
+    return spark.read.parquet(folder).count() - before
 
 
 def insert_or_ignore(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[Column]) -> int:

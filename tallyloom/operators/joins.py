@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,13 @@ def fold_pages(
     )
 
 
+def map_of_last(entries: Column) -> Column:
+    """Map from an array of (k, v): null keys are left out, and of equal keys the last one counts."""
+    keys = F.transform(entries, lambda e: e["k"])
+    later = lambda i: F.slice(keys, i + 2, F.size(keys))
+    return F.map_from_entries(F.filter(entries, lambda e, i: e["k"].isNotNull() & (F.array_position(later(i), e["k"]) == 0)))
+
+
 def lookup_in_document(
     docs: DataFrame,
     readings: str,
@@ -53,9 +60,7 @@ def lookup_in_document(
     The lookup table lives in the same document, so a map inside the row
     replaces a join. Unknown stations give null attributes.
     """
-    lookup = F.map_from_entries(
-        F.transform(F.col(stations), lambda s: F.struct(s[station_key].alias("k"), s.alias("v")))
-    )
+    lookup = map_of_last(F.transform(F.col(stations), lambda s: F.named_struct(F.lit("k"), s[station_key], F.lit("v"), s)))
     rest = [c for c in docs.columns if c not in (readings, stations)]
     rows = docs.withColumn("__map", lookup).select(
         *rest, "__map", F.explode(readings).alias("reading")

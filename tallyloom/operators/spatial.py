@@ -98,12 +98,13 @@ def dissolve(polygons: DataFrame, parents: DataFrame) -> DataFrame:
     """Re-label polygons with the larger area they belong to.
 
     Membership needs no union of shapes: an area is the set of its polygons.
+    ``part`` is a hash of a polygon's own area and part, the same on each run.
     """
     return (
-        polygons.join(parents, "area")
+        polygons.join(parents, "area").withColumn("part", F.xxhash64("area", "part"))
         .drop("area")
         .withColumnRenamed("parent", "area")
-        .select("area", F.monotonically_increasing_id().cast("int").alias("part"), "rings", "min_lon", "max_lon", "min_lat", "max_lat")
+        .select("area", "part", "rings", "min_lon", "max_lon", "min_lat", "max_lat")
     )
 
 

@@ -20,14 +20,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.literals import literal_table
+from tallyloom.plans.nullsafe import join_on
 from tallyloom.plans.scratch import checkpointed, materialised
 
 CELL = "__cell"
-_MAX_CELLS = 512
+_QUANTILE_CELLS = 256
 
 
 def default_cells(spark: SparkSession) -> int:
-    return max(2, min(_MAX_CELLS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _splits(bounds: Sequence[float], isolate: Sequence[float] = ()) -> list[float]:
@@ -37,9 +38,11 @@ def _splits(bounds: Sequence[float], isolate: Sequence[float] = ()) -> list[floa
 
 
 def _bucket(df: DataFrame, column: str, out: str, splits: list[float]) -> DataFrame:
-    return Bucketizer(
+    """Cell of each value; NaN has the cell after the last one, null the one after that."""
+    celled = Bucketizer(
         splits=splits, inputCol=column, outputCol=out, handleInvalid="keep"
     ).transform(df)
+    return celled.withColumn(out, F.coalesce(out, F.lit(float(len(splits)))))
 
 
 def with_cells(
@@ -47,8 +50,8 @@ def with_cells(
 ) -> DataFrame:
     """Add the cell number of ``order`` (numeric); cells rise with the order.
 
-    An order value that fills several quantiles gets a cell of its own, which
-    is then cut again along ``tie``.
+    An order value that fills several quantiles gets a cell of its own; that
+    cell, and those of null and NaN, are cut again along ``tie``.
     """
     parts = cells or default_cells(df.sparkSession)
     probabilities = [i / parts for i in range(1, parts)]
@@ -57,12 +60,15 @@ def with_cells(
     bounds = found[0]
     hot = sorted({b for b in bounds if bounds.count(b) > 1})
     celled = _bucket(df, order, "__b", _splits(bounds, hot))
-    if tie is None or not hot:
+    if tie is None:
         return celled.withColumn(CELL, F.col("__b").cast("long")).drop("__b")
-    celled = _bucket(celled, tie, "__s", _splits(found[1]))
-    inner = F.when(F.col(order).cast("double").isin(hot), F.col("__s").cast("long")).otherwise(0)
+    ties = _splits(found[1])
+    celled = _bucket(celled, tie, "__s", ties)
+    value = F.col(order).cast("double")
+    crowded = value.isin(hot) | value.isNull() | F.isnan(value)
+    inner = F.when(crowded, F.col("__s").cast("long")).otherwise(0)
     return celled.withColumn(
-        CELL, F.col("__b").cast("long") * F.lit(2 * _MAX_CELLS) + inner
+        CELL, F.col("__b").cast("long") * F.lit(len(ties) + 1) + inner
     ).drop("__b", "__s")
 
 
@@ -98,7 +104,7 @@ def row_numbers(
     local = Window.partitionBy(*keys, CELL).orderBy(
         F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_last()
     )
-    numbered = celled.withColumn("__in_cell", F.row_number().over(local)).join(prefix, [*keys, CELL])
+    numbered = join_on(celled.withColumn("__in_cell", F.row_number().over(local)), prefix, [*keys, CELL])
     result = numbered.withColumn(out, (F.col("__in_cell") + F.col("__before_n")).cast("long"))
     if with_total is not None:
         result = result.withColumn(with_total, F.col("total_n").cast("long")).drop("total_n")
@@ -126,9 +132,8 @@ def running_sums(
         .orderBy(F.col(order).asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    stepped = celled.select(
-        "*", *[F.sum(c).over(local).alias(f"__in_{o}") for o, c in sums.items()]
-    ).join(prefix, [*keys, CELL])
+    inside = celled.select("*", *[F.sum(c).over(local).alias(f"__in_{o}") for o, c in sums.items()])
+    stepped = join_on(inside, prefix, [*keys, CELL])
     for name in sums:
         stepped = stepped.withColumn(name, F.col(f"__in_{name}") + F.col(f"__before_{name}"))
     return stepped.drop(CELL, *[f"__in_{o}" for o in sums], *[f"__before_{o}" for o in sums])
@@ -148,7 +153,7 @@ def exact_quantiles(
     positions, and only the values of those cells are shuffled and ordered.
     """
     values = df.select(*keys, F.col(column).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    celled = with_cells(values, "__v", None, _MAX_CELLS // 2)
+    celled = with_cells(values, "__v", None, max(_QUANTILE_CELLS, default_cells(df.sparkSession)))
     prefix = _prefix(celled, {"n": F.count(F.lit(1))}, keys, True, keep=True)
     exact = [(F.col("total_n") - 1) * F.lit(float(p)) for p in probabilities.values()]
     located = prefix.withColumns({
@@ -159,12 +164,8 @@ def exact_quantiles(
     # would make the optimizer infer a constraint for each combination.
     holds = F.exists("__pos", lambda p: (p >= F.col("__before_n")) & (p < F.col("__before_n") + F.col("__a_n")))
     targets = _small(located.filter(holds).select(*keys, CELL, "__before_n", "__pos", "__share"), keys)
-    counts = (
-        celled.join(targets.select(*keys, CELL), [*keys, CELL], "left_semi")
-        .groupBy(*keys, CELL, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .join(targets, [*keys, CELL])
-    )
+    wanted = join_on(celled, targets.select(*keys, CELL), [*keys, CELL], "left_semi")
+    counts = join_on(wanted.groupBy(*keys, CELL, "__v").agg(F.count(F.lit(1)).alias("__n")), targets, [*keys, CELL])
     upto = Window.partitionBy(*keys, CELL).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stepped = counts.withColumn("__to", F.col("__before_n") + F.sum("__n").over(upto))
     at = [
@@ -225,17 +226,16 @@ def surrogate_keys(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def ranks(df: DataFrame, order: str, cells: int | None = None) -> DataFrame:
-    """Add ``rank`` and ``dense_rank`` by ``order`` (numeric) over all rows."""
-    celled = with_cells(df, order, None, cells)
-    prefix = _prefix(celled, {"n": F.count(F.lit(1)), "d": F.count_distinct(order)}, (), False)
-    local = Window.partitionBy(CELL).orderBy(F.col(order).asc_nulls_last())
-    return (
-        celled.select("*", F.rank().over(local).alias("__r"), F.dense_rank().over(local).alias("__d"))
-        .join(prefix, CELL)
-        .withColumn("rank", (F.col("__r") + F.col("__before_n")).cast("long"))
-        .withColumn("dense_rank", (F.col("__d") + F.col("__before_d")).cast("long"))
-        .drop(CELL, "__r", "__d", "__before_n", "__before_d")
+    """Add ``rank`` and ``dense_rank`` by ``order`` (numeric) over all rows; nulls rank last.
+
+    Only the distinct values are ranked, so that a tied value is one row.
+    """
+    per_value = df.groupBy(F.col(order).alias("__value")).agg(F.count(F.lit(1)).alias("__n"), F.lit(1).alias("__one"))
+    stepped = running_sums(per_value, "__value", {"__upto": "__n", "__distinct": "__one"}, cells=cells)
+    ranked = stepped.select(
+        F.col("__value").alias(order), (F.col("__upto") - F.col("__n") + 1).cast("long").alias("rank"), F.col("__distinct").cast("long").alias("dense_rank")
     )
+    return join_on(df, ranked, [order])
 
 
 def ntile(rn: Column, total: Column, buckets: int) -> Column:

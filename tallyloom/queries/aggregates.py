@@ -167,10 +167,12 @@ def group_mean_difference(t):
 
 
 @query("a13_histogram", """
-    WITH b AS (SELECT event_type, least(CAST(floor((value - 0) / 25.0) AS BIGINT), 19) AS bin
-               FROM events WHERE value >= 0 AND value <= 500)
+    WITH b AS (SELECT event_type, CASE WHEN value < 0 THEN -1 WHEN value > 500 THEN 20
+                      ELSE least(CAST(floor((value - 0) / 25.0) AS BIGINT), 19) END AS bin
+               FROM events WHERE value IS NOT NULL)
     SELECT event_type, bin, count(*) AS n,
-           round(count(*) / (sum(count(*)) OVER (PARTITION BY event_type) * 25.0), 8) AS density
+           CASE WHEN bin BETWEEN 0 AND 19 THEN
+               round(count(*) / (sum(CASE WHEN bin BETWEEN 0 AND 19 THEN count(*) END) OVER (PARTITION BY event_type) * 25.0), 8) END AS density
     FROM b GROUP BY event_type, bin""")
 def histogram(t):
     return ag.histogram(t.events, "value", 0.0, 500.0, 20, ["event_type"]).select(

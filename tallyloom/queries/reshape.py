@@ -73,10 +73,12 @@ def append_frames(t):
 @query("u6_pivot", """
     SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS click,
            count(*) FILTER (WHERE event_type = 'error') AS error,
+           count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
+           count(*) FILTER (WHERE event_type = 'signup') AS signup,
            count(*) FILTER (WHERE event_type = 'view') AS view FROM events GROUP BY user_id""")
 def pivot(t):
     return (
-        t.events.groupBy("user_id").pivot("event_type", ["click", "error", "view"]).count().na.fill(0)
+        t.events.groupBy("user_id").pivot("event_type", ["click", "error", "purchase", "signup", "view"]).count().na.fill(0)
     )
 
 

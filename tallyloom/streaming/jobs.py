@@ -145,7 +145,8 @@ def with_areas(stream: DataFrame, areas: DataFrame, key: str) -> DataFrame:
 
 def join_actuals(predictions: DataFrame, actuals: DataFrame, key: str, made: str, seen: str, delay: str, horizon: str) -> DataFrame:
     """Predictions with the actuals that arrive within the horizon; both sides
-    keep state only until their watermarks pass it."""
+    keep state only until their watermarks pass it. A prediction without an
+    actual comes out with nulls once the watermark has passed its horizon."""
     p = event_time(predictions, made, delay).alias("p")
     a = event_time(actuals, seen, delay).alias("a")
     within = (
@@ -154,7 +155,7 @@ def join_actuals(predictions: DataFrame, actuals: DataFrame, key: str, made: str
         & (F.col(f"a.{seen}") <= F.col(f"p.{made}") + F.expr(f"interval {horizon}"))
     )
     rest = [F.col(f"a.{c}") for c in actuals.columns if c != key]
-    return p.join(a, within).select("p.*", *rest)
+    return p.join(a, within, "left").select("p.*", *rest)
 
 
 def staleness(df: DataFrame, entity: str, time: str, now, limit_minutes: int) -> DataFrame:
