@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import appended, bounded_batches, fields, packed
 from tallyloom.llm.decontaminate import terms
 from tallyloom.plans.graph import connected_components
-from tallyloom.plans.scratch import materialised
+from tallyloom.plans.scratch import materialised, run_dir
 
 SIGNED = fields(n_shingles="long", fingerprint="binary", bands="list_long")
 LINKED = fields(rid="long", root="long", links="long")
@@ -90,14 +90,14 @@ def common_counts(sets: list[np.ndarray], dense_from: int = 48, most_pairs: int
     values, owner = values[order], owner[order]
     starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
     sizes = np.diff(np.append(starts, len(values)))
-    counts = np.zeros((n, n), np.int64)
+    counts = np.zeros((n, n), np.int32)
     often = np.flatnonzero(sizes >= dense_from)
     for at in range(0, len(often), 1024):
         part = often[at:at + 1024]
         held = np.zeros((n, len(part)), np.float32)
         where = np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in part])
         held[owner[where], np.repeat(np.arange(len(part)), sizes[part])] = 1
-        counts += (held @ held.T).astype(np.int64)
+        counts += (held @ held.T).astype(np.int32)
     flat = counts.reshape(-1)
     for size in np.unique(sizes[(sizes > 1) & (sizes < dense_from)]):
         groups = starts[sizes == size]
@@ -105,7 +105,7 @@ def common_counts(sets: list[np.ndarray], dense_from: int = 48, most_pairs: int
         for at in range(0, len(groups), step):
             members = owner[groups[at:at + step, None] + np.arange(size)]
             pairs = (members[:, :, None] * n + members[:, None, :]).reshape(-1)
-            flat += np.bincount(pairs, minlength=n * n)
+            flat += np.bincount(pairs, minlength=n * n).astype(np.int32)
     np.fill_diagonal(counts, [len(s) for s in sets])
     return counts
 
@@ -159,11 +159,9 @@ def jaccard_classes(
 
     signed = appended(packed(docs, text), ["body"], sign, SIGNED)
     kept = docs.columns if keep is None else keep
-    signed = signed.select(
-        F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col("row")[c].alias(c) for c in kept]).alias("row"),
-        F.col("row")[doc_id].alias("id"), F.col("row")[text].cast("binary").alias("body"), *SIGNED.names,
-    )
-    signed = materialised(signed, "ngram-signatures")
+    path = run_dir(spark, "ngram-signatures")  # holds each text once, whether or not it is returned
+    signed.select(F.monotonically_increasing_id().alias("rid"), "row", *SIGNED.names).write.option("compression", "zstd").parquet(path)
+    signed = spark.read.parquet(path).withColumns({"id": F.col("row")[doc_id], "body": F.col("row")[text].cast("binary")})
 
     head = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("rid").alias("rid"))
     sets = signed.filter("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("rid").alias("rid"), F.min(head).alias("head"), F.count("*").alias("copies"))
@@ -180,7 +178,8 @@ def jaccard_classes(
     sets = sets.join(classes, "rid", "left").join(counted, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     heads = sets.groupBy("component").agg(F.min("head").alias("class_head"))
     sets = sets.join(heads, "component").select("fingerprint", "class_head", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return signed.drop("body", "bands").join(sets, "fingerprint", "left").select(
+    kept_row = F.struct(*[F.col("row")[c].alias(c) for c in kept]).alias("row")
+    return signed.select("rid", "id", kept_row, "fingerprint").join(sets, "fingerprint", "left").select(
         "row", F.when(F.col("fingerprint").isNull(), F.col("id")).otherwise(F.col("class_head.id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(F.col("class_head.rid") == F.col("rid"), F.lit(True)).alias("is_head"),
     )
