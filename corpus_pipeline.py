@@ -29,7 +29,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    encoded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep=keep, with_ids=True)
+    # smaller caches than by default: the workers share an executor's memory with what the stages before left in its heap
+    encoded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep=keep, with_ids=True, most_transitions=200_000, most_pieces=120_000)
     return encoded.select("row.*", *bpe.ENCODED_IDS.names)
 
 

@@ -249,8 +249,7 @@ def _machines(broadcast) -> tuple[Transducer, StreamDecoder]:
     """One transducer per worker process; it keeps what it has built from batch to batch."""
     if broadcast.id not in _loaded:
         _loaded.clear()
-        ranks, pattern = broadcast.value
-        encoder = Transducer(ranks, pattern)
+        encoder = Transducer(*broadcast.value)
         _loaded[broadcast.id] = (encoder, StreamDecoder(encoder.token))
     return _loaded[broadcast.id]
 
@@ -266,17 +265,22 @@ class _Named:
         return self.broadcast.value
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None, with_ids: bool = False,
+    most_transitions: int = 400_000, most_pieces: int = 300_000,
+) -> DataFrame:
     """``row``, ``n_tokens``, digests of the ids and of the text decoded from them, and with ``with_ids`` the ids.
 
     ``ranks_path`` is read on the driver and sent to the tasks: a vocabulary,
     which does not grow with the documents. Null and empty texts have no
     tokens; the same text always has the same ids; a text of any length is
-    encoded whole. No shuffle.
+    encoded whole. No shuffle. ``most_transitions`` and ``most_pieces`` bound
+    what a worker keeps of the transducer (about 280 MB as they stand); they
+    trade memory for time and never change the ids.
     """
     ranks = read_ranks(ranks_path)
-    digest = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
-    shared = _Named(docs.sparkSession.sparkContext.broadcast((ranks, pattern)), digest)
+    digest = hashlib.sha256(repr((sorted(ranks.items()), pattern, most_transitions, most_pieces)).encode()).hexdigest()
+    shared = _Named(docs.sparkSession.sparkContext.broadcast((ranks, pattern, most_transitions, most_pieces)), digest)
 
     def step(bodies: list[bytes | None]) -> list[pa.Array]:
         encoder, decoder = _machines(shared)
