@@ -17,8 +17,8 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
 
-def confusion_counts(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    return df.groupBy(label, predicted).agg(F.count(F.lit(1)).alias("n"))
+def confusion_counts(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by, label, predicted).agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: Sequence) -> DataFrame:
@@ -32,11 +32,12 @@ def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: Sequenc
     return pairs.join(counts, [label, predicted], "left").na.fill(0, ["n"])
 
 
-def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Per class: support, precision, recall, F1. One shuffle of k x k counts."""
-    counts = confusion_counts(df, label, predicted)
+def classification_report(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per class (and group): support, precision, recall, F1. One shuffle of k x k counts."""
+    counts = confusion_counts(df, label, predicted, by)
     hit = F.when(F.col(label) == F.col(predicted), F.col("n")).otherwise(0)
     sides = counts.select(
+        *by,
         F.inline(
             F.array(
                 F.struct(F.col(label).alias("class"), F.col("n").alias("a"), F.lit(0).cast("long").alias("p"), hit.cast("long").alias("tp")),
@@ -44,7 +45,7 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
             )
         )
     )
-    totals = sides.groupBy("class").agg(
+    totals = sides.groupBy(*by, "class").agg(
         F.sum("a").alias("support"), F.sum("p").alias("predicted"), F.sum("tp").alias("tp")
     )
     rates = totals.withColumn("precision", _ratio(F.col("tp"), F.col("predicted"))).withColumn(
@@ -54,10 +55,10 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
     return rates.withColumn("f1", f1).drop("tp")
 
 
-def overall_metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
+def overall_metrics(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, balanced accuracy (classes present in the labels), macro F1."""
-    report = classification_report(df, label, predicted)
-    return report.agg(
+    report = classification_report(df, label, predicted, by)
+    return report.groupBy(*by).agg(
         _ratio(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("accuracy"),
         F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
         F.avg("precision").alias("macro_precision"),
@@ -65,16 +66,16 @@ def overall_metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve by average ranks, ties included."""
-    values = average_ranks(df, score, {"pos": F.sum(F.col(label).cast("long"))})
-    sums = values.agg(
+    values = average_ranks(df, score, {"pos": F.sum(F.col(label).cast("long"))}, by)
+    sums = values.groupBy(*by).agg(
         F.sum(F.col("avg_rank") * F.col("pos")).alias("r"),
         F.sum("pos").cast("double").alias("n1"),
         (F.sum("n") - F.sum("pos")).cast("double").alias("n0"),
     )
     area = F.try_divide(F.col("r") - F.col("n1") * (F.col("n1") + 1) / 2, F.col("n1") * F.col("n0"))
-    return sums.select(area.alias("auc"))
+    return sums.select(*by, area.alias("auc"))
 
 
 def precision_recall_curve(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -165,13 +165,14 @@ def add_noise(df: DataFrame, columns: Sequence[str], level: float, seed: int, ke
     Two hashed uniforms give a normal draw, so a retried task repeats it.
     """
     changed = {}
+    spread = df.agg(F.struct(*[F.stddev_pop(c).alias(c) for c in columns]).alias("s")).scalar()  # one scan for all columns
     for i, name in enumerate(columns):
         u1, u2 = (
             (F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(i), F.lit(j)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
             for j in (0, 1)
         )
         normal = F.sqrt(-2 * F.log(u1)) * F.cos(F.lit(2 * 3.141592653589793) * u2)
-        changed[name] = F.col(name) + normal * df.select(F.stddev_pop(name)).scalar() * F.lit(level)
+        changed[name] = F.col(name) + normal * spread[name] * F.lit(level)
     return df.withColumns(changed)
 
 

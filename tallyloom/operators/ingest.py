@@ -219,7 +219,7 @@ def logged_run(spark: SparkSession, log: str, source: str, job: Callable[[], int
         rows, status, message = job(), "success", ""
     except Exception as error:
         rows, status = 0, "failed"
-        message = traceback.format_exception_only(error)[-1].strip()[:500]
+        message = "".join(traceback.format_exception_only(error)).strip()
     entry = literal_table(
         spark, [(source, started, status, rows, message)],
         "source string, started_at timestamp, status string, rows bigint, message string",

@@ -76,10 +76,12 @@ def dense_grid(
 ) -> DataFrame:
     """Every (time, area) that can occur, with defaults where no count exists.
 
-    The distinct times, bounded by the span and the bucket width, are unfolded
-    next to each distinct area; the output is the grid itself.
+    Distinct times are dealt over parts and each distinct area goes to every
+    part, so that the grid, which is the output itself, is made part by part.
     """
-    times = df.select(F.array_sort(F.collect_set(time)).alias("__times"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    times = df.select(time).filter(F.col(time).isNotNull()).distinct().withColumn("__part", F.pmod(F.xxhash64(time), F.lit(parts)))
     areas = df.select(area).filter(F.col(area).isNotNull()).distinct()
-    grid = areas.withColumn("__times", times.scalar()).select(F.explode("__times").alias(time), area)
+    areas = areas.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    grid = times.join(areas, "__part").select(time, area)
     return merge_with_default(grid, counts, [time, area], defaults)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import evaluation as ev
 from tallyloom.plans.literals import literal_table
 from tallyloom.plans.ordering import row_numbers
+from tallyloom.plans.scratch import materialised
 
 
 def preprocessing(numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> list:
@@ -101,20 +102,20 @@ def out_of_fold(estimator: Estimator, df: DataFrame, fold: str, folds: int, kept
 
 
 def cross_validate(models: Mapping[str, Estimator], df: DataFrame, label: str, fold: str, folds: int) -> DataFrame:
-    """AUC, accuracy, recall and macro F1 per model and fold."""
+    """AUC, accuracy, recall and macro F1 per model and fold.
+
+    Every row is scored once per model; the predictions are written, and each
+    metric is one grouped aggregate over them.
+    """
     out = None
     for name, estimator in models.items():
-        predicted = out_of_fold(estimator, df, fold, folds, [label])
-        for i in range(folds):
-            part = predicted.filter(F.col(fold) == i)
-            report = ev.classification_report(part, label, "prediction")
-            recall = report.filter(F.col("class") == 1.0).select("recall").scalar()
-            row = ev.overall_metrics(part, label, "prediction").select(
-                F.lit(name).alias("model"), F.lit(i).alias("fold"), "accuracy", "macro_f1",
-                recall.alias("recall"), ev.roc_auc(part, "score", label).scalar().alias("auc"),
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+        part = out_of_fold(estimator, df, fold, folds, [label]).select(
+            F.lit(name).alias("model"), F.col(fold).cast("int").alias("fold"), label, "prediction", "score")
+        out = part if out is None else out.unionByName(part)
+    predicted, by = materialised(out, "fold-predictions"), ["model", "fold"]
+    overall = ev.overall_metrics(predicted, label, "prediction", by).select(*by, "accuracy", "macro_f1")
+    recall = ev.classification_report(predicted, label, "prediction", by).filter(F.col("class") == 1.0).select(*by, "recall")
+    return overall.join(recall, by, "left").join(ev.roc_auc(predicted, "score", label, by), by, "left")
 
 
 def summarise_folds(folds: DataFrame, metric: str) -> DataFrame:

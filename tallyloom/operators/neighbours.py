@@ -49,10 +49,13 @@ def knn_join(
     inequality only cells that can hold something nearer are searched. Cells
     are cut into blocks of bounded size on both sides, so a hot cell is spread
     over many tasks; a task returns at most ``k`` rows per query of its block.
+    Rows without a vector, or with a null inside it, are no references and as
+    queries have no neighbours.
     """
     as_double = F.col(vector).cast("array<double>")
-    refs = references.select(F.col(reference_id).alias("__r"), as_double.alias("__v"))
-    asks = queries.select(F.col(query_id).alias("__q"), as_double.alias("__v"))
+    whole = F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull())
+    refs = references.select(F.col(reference_id).alias("__r"), as_double.alias("__v")).filter(whole)
+    asks = queries.select(F.col(query_id).alias("__q"), as_double.alias("__v")).filter(whole)
     centers = refs.orderBy(F.xxhash64("__r"), "__r").limit(pivots).collect()  # ``pivots`` rows
     if not centers:
         empty = asks.filter(F.lit(False)).select(F.col("__q").alias(query_id))

@@ -201,10 +201,10 @@ def _small(targets: DataFrame, keys: Sequence[str]) -> DataFrame:
     })
 
 
-def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column]) -> DataFrame:
-    """One row per distinct value with its average rank and extra aggregates."""
-    per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
-    stepped = running_sums(per_value, column, {"upto": "n"})
+def average_ranks(df: DataFrame, column: str, sums: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per (group and) distinct value with its average rank and extra aggregates."""
+    per_value = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
+    stepped = running_sums(per_value, column, {"upto": "n"}, keys)
     return stepped.withColumn("avg_rank", F.col("upto") - (F.col("n") - 1) / F.lit(2.0))
 
 

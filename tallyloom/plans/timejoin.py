@@ -27,6 +27,11 @@ def _floor_div(column: Column, width: int | Column) -> Column:
     return ((column - F.pmod(column, step)) / step).cast("long")
 
 
+def _scattered(keys: Sequence[str], part: Column, by: Sequence[str]) -> Column:
+    """``part``; rows with a null key never match, so they are spread by a hash of ``by`` instead of meeting in one task."""
+    return F.when(_all([F.col(k).isNotNull() for k in keys]), part).otherwise(F.xxhash64(*by))
+
+
 def point_in_time_join(
     entities: DataFrame,
     features: DataFrame,
@@ -68,7 +73,7 @@ def point_in_time_join(
         F.struct(*[F.col(c) for c in kept]).alias("__l"),
     )
     stream = left.unionByName(right, allowMissingColumns=True).withColumn(
-        "__slice", _floor_div(F.col("__t"), width)
+        "__slice", _scattered(keys, _floor_div(F.col("__t"), width), ["__t"])
     )
     inside = (
         Window.partitionBy(*keys, "__slice")
@@ -80,8 +85,9 @@ def point_in_time_join(
         .orderBy("__slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # Rows with a null key need no carry: nothing on the right can match them.
     carry = (
-        stream.groupBy(*keys, "__slice")
+        stream.filter(_all([F.col(k).isNotNull() for k in keys])).groupBy(*keys, "__slice")
         .agg(F.max("__f").alias("__best"))
         .select(*keys, "__slice", F.max("__best").over(earlier).alias("__carry"))
     )
@@ -154,7 +160,7 @@ def interval_latest_join(
         micros(at).alias("__t"),
         F.lit(1).alias("__side"),
         F.explode(F.array(*[F.lit(w) for w in widths])).alias("__w"),
-    ).withColumn("__slice", _floor_div(F.col("__t"), F.col("__w")))
+    ).withColumn("__slice", _scattered(keys, _floor_div(F.col("__t"), F.col("__w")), [f"__id_{c}" for c in left_id]))
     stream = points.unionByName(pieces, allowMissingColumns=True)
     where = [*keys, "__w", "__slice"]
     running = (Window.unboundedPreceding, Window.currentRow)
@@ -169,10 +175,11 @@ def interval_latest_join(
     ).filter(F.col("__side") == 1)
     found = found.withColumn("__got", F.greatest("__h", "__k"))
     if len(widths) > 1:
+        # Equal left rows meet in one group and get the same answer; each is given back as often as it came.
         ids = [f"__id_{c}" for c in left_id]
-        found = found.groupBy(*keys, *ids).agg(
-            F.first("__l").alias("__l"), F.max("__got").alias("__got")
-        )
+        copies = (F.count(F.lit(1)) / F.lit(len(widths))).cast("int")
+        found = found.groupBy(*keys, *ids, "__l").agg(F.max("__got").alias("__got"), copies.alias("__copies"))
+        found = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
     return found.select(
         *keys,
         *[F.col(f"__id_{c}").alias(c) for c in left_id],
@@ -204,7 +211,7 @@ def nearest_join(
         F.struct(*[F.col(c) for c in kept]).alias("__l"),
         (micros(at) + F.lit(offset_seconds * MICROS)).alias("__t"),
         F.lit(1).alias("__side"),
-    ).withColumn("__slice", _floor_div(F.col("__t"), width))
+    ).withColumn("__slice", _scattered(keys, _floor_div(F.col("__t"), width), ["__t"]))
     body = [F.col(v).alias(f"__v_{v}") for v in values]
     targets = right.filter(_all([F.col(k).isNotNull() for k in keys])).select(
         *keys,
@@ -266,7 +273,9 @@ def trailing_window(
 
     def frame(seconds: int) -> WindowSpec:
         ordered = Window.partitionBy(*keys, "__slice").orderBy("__t")
-        return ordered.rangeBetween(-min(seconds, lookback_seconds) * MICROS, 0)
+        if seconds > lookback_seconds:
+            raise ValueError(f"a frame of {seconds} s is longer than the look-back of {lookback_seconds} s")
+        return ordered.rangeBetween(-seconds * MICROS, 0)
 
     columns = [c.alias(n) for n, c in measures(frame).items()]
     return seen.select("*", *columns).filter("__live").drop("__t", "__slice", "__live")

@@ -191,18 +191,15 @@ def json_lines_log(t):
     return files.read_json_lines(t.spark, path, "request_id bigint, model string, prediction double")
 
 
-@query("s15_table_inventory", """
-    SELECT 'orders' AS name, count(*) AS rows, CAST(6 AS BIGINT) AS columns FROM orders
-    UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem
-    UNION ALL SELECT 'events', count(*), 6 FROM events
-    UNION ALL SELECT 'embeddings', count(*), 3 FROM embeddings
-    UNION ALL SELECT 'documents', count(*), 5 FROM documents""")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("s15_table_inventory", " UNION ALL ".join(f"""
+    SELECT '{name}' AS name, (SELECT count(*) FROM {name}) AS rows, count(*) AS columns FROM (DESCRIBE {name})""" for name in _TABLES))
 def table_inventory(t):
     found = layout.table_inventory(t.spark, t.sf_dir)
     name = F.regexp_extract("path", r"([a-z]+)\.parquet$", 1)
-    return found.select(name.alias("name"), "rows", F.col("columns").cast("long").alias("columns")).filter(
-        F.col("name").isin("orders", "lineitem", "events", "embeddings", "documents")
-    )
+    return found.select(name.alias("name"), "rows", F.col("columns").cast("long").alias("columns"))
 
 
 @query("s15_row_group_statistics", """
@@ -226,12 +223,12 @@ def size_by_format(t):
 
 
 @query("s16_catalog", """
-    SELECT 'l_quantity' AS column, 'double' AS type, count(*) AS rows FROM lineitem
-    UNION ALL SELECT 'l_returnflag', 'string', count(*) FROM lineitem
-    UNION ALL SELECT 'l_linenumber', 'int', count(*) FROM lineitem""")
+    WITH d AS (DESCRIBE lineitem)
+    SELECT column_name AS column, CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+        ELSE lower(column_type) END AS type, (SELECT count(*) FROM lineitem) AS rows FROM d""")
 def catalog(t):
     rows = t.lineitem.select(F.count("*").alias("rows")).scalar()
-    columns = layout.describe_columns(t.lineitem.select("l_quantity", "l_returnflag", "l_linenumber"))
+    columns = layout.describe_columns(t.lineitem)
     return columns.select("column", "type", rows.alias("rows"))
 
 

@@ -306,21 +306,21 @@ def fold_ids(t):
 
 @query("m32_cross_validation", f"""
     WITH {_TRAIN} SELECT model, fold, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, true AS beats_majority, true AS ranks_well
-    FROM (SELECT label, CAST(fold % 3 AS INTEGER) AS fold FROM tr), (VALUES ('tree'), ('forest')) g(model) GROUP BY model, fold""")
+    FROM (SELECT label, CAST(fold AS INTEGER) AS fold FROM tr), (VALUES ('tree'), ('forest')) g(model) GROUP BY model, fold""")
 def cross_validation(t):
     models = {"tree": md.decision_tree(4), "forest": md.random_forest(5, 4, 1)}
-    rows = _numeric_rows(t).withColumn("fold", F.col("fold") % 3)
+    rows = _numeric_rows(t)
     one = F.avg("label")
     floors = rows.groupBy("fold").agg(F.round(F.greatest(one, 1 - one), 6).alias("majority"))
-    folds = md.cross_validate(models, rows, "label", "fold", 3).join(floors, "fold")
+    folds = md.cross_validate(models, rows, "label", "fold", 5).join(floors, "fold")
     return folds.select("model", "fold", "majority", (F.col("accuracy") > F.col("majority")).alias("beats_majority"), (F.col("auc") > 0.8).alias("ranks_well"))
 
 
 @query("m33_grid_search", f"WITH {_TRAIN} SELECT 4 AS configs, majority, true AS beats_majority, true AS deeper_wins FROM every")
 def grid_search(t):
     configs = md.grid(depth=[2, 4], leaf=[1, 20])
-    rows = _numeric_rows(t).withColumn("fold", F.col("fold") % 2)
-    best, model, table = md.grid_search(lambda **c: md.decision_tree(**c), configs, rows, "label", "fold", 2)
+    rows = _numeric_rows(t)
+    best, model, table = md.grid_search(lambda **c: md.decision_tree(**c), configs, rows, "label", "fold", 5)
     hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     return model.transform(rows).agg(hit.alias("accuracy")).select(
         table.select(F.count("*").cast("int")).scalar().alias("configs"), _majority(rows).alias("majority"),
@@ -337,12 +337,12 @@ def out_of_fold(t):
 @query("m35_ablation", """
     SELECT model, verdict, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('reference', 'Reference'), ('price only', 'Rejected')) g(model, verdict)""")
 def ablation(t):
-    rows = training_rows(t).withColumn("fold", F.col("fold") % 2)
+    rows = training_rows(t)
     variants = {
         "reference": Pipeline(stages=[VectorAssembler(inputCols=_NUMERIC, outputCol="features"), md.decision_tree(4)]),
         "price only": Pipeline(stages=[VectorAssembler(inputCols=["price"], outputCol="features"), md.decision_tree(4)]),
     }
-    found = md.ablation(variants, "reference", rows, "label", "fold", 2, 0.005, -0.005)
+    found = md.ablation(variants, "reference", rows, "label", "fold", 5, 0.005, -0.005)
     return found.select("model", "verdict", rows.select(F.count("*")).scalar().alias("rows"))
 
 

@@ -39,18 +39,20 @@ def column_profile(t):
     return cl.profile_columns(with_holes(t)).withColumn("null_percent", F.round("null_percent", 4))
 
 
-@query("q2_quality_report", """
+_LINE_COLUMNS = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query("q2_quality_report", f"""
     WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
-         r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 9 <> 0 THEN l_quantity END AS quantity FROM lineitem)
+         r AS (SELECT *, CASE WHEN l_partkey % 9 <> 0 THEN l_quantity END AS quantity FROM lineitem)
     SELECT 'rows' AS "check", count(*) AS value FROM r
     UNION ALL SELECT 'duplicate_rows', CAST(sum(n - 1) AS BIGINT) FROM k
     UNION ALL SELECT 'null_l_orderkey', count(*) - count(l_orderkey) FROM r
     UNION ALL SELECT 'null_l_linenumber', count(*) - count(l_linenumber) FROM r
-    UNION ALL SELECT 'null_quantity', count(*) - count(quantity) FROM r""")
+    UNION ALL SELECT 'null_quantity', count(*) - count(quantity) FROM r
+    {" ".join(f"UNION ALL SELECT 'null_{c}', count(*) - count({c}) FROM r" for c in _LINE_COLUMNS)}""")
 def quality_report(t):
-    rows = t.lineitem.select(
-        "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity")).alias("quantity")
-    )
+    rows = t.lineitem.withColumn("quantity", F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity")))
     return cl.quality_report(rows, ["l_orderkey", "l_linenumber"])
 
 
@@ -158,14 +160,15 @@ def outlier_count(t):
     return cl.outlier_counts(t.events, ["event_type"], "value", 1.5)
 
 
-@query("q12_column_roles", """
-    WITH c AS (SELECT 'o_orderkey' AS "column", count(*) AS n, count(DISTINCT o_orderkey) AS d FROM orders
-      UNION ALL SELECT 'o_custkey', count(*), count(DISTINCT o_custkey) FROM orders
-      UNION ALL SELECT 'o_orderstatus', count(*), count(DISTINCT o_orderstatus) FROM orders)
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@query("q12_column_roles", f"""
+    WITH c AS ({" UNION ALL ".join(f"SELECT '{c}' AS column, count(*) AS n, count(DISTINCT {c}) AS d FROM orders" for c in _ORDER_COLUMNS)})
     SELECT "column", round(d / n, 6) AS unique_ratio, CASE WHEN d <= 1 THEN 'constant' WHEN d = n THEN 'identifier'
         WHEN d > 50 THEN 'high_cardinality' ELSE 'ordinary' END AS role FROM c""")
 def column_roles(t):
-    profile = cl.profile_columns(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"))
+    profile = cl.profile_columns(t.orders)
     return cl.column_roles(profile).withColumn("unique_ratio", F.round("unique_ratio", 6))
 
 

@@ -123,9 +123,13 @@ def late_router(spark: SparkSession, on_time: str, late: str, marks: str, time:
         newest = newest_before(batch_id)
         edge = F.lit(newest).cast("timestamp_ntz") - F.expr(f"interval {delay_seconds} seconds")
         is_late = F.lit(False) if newest is None else F.coalesce(F.col(time) < edge, F.lit(False))
-        batch.filter(~is_late).write.mode("overwrite").parquet(f"{on_time}/batch={batch_id}")
-        batch.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        batch.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
+        kept = batch.persist()  # three writes, one reading of the source
+        try:
+            kept.filter(~is_late).write.mode("overwrite").parquet(f"{on_time}/batch={batch_id}")
+            kept.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+            kept.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
+        finally:
+            kept.unpersist()
 
     return write
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import features as ft
 from tallyloom.operators.aggregates import describe, histogram
 from tallyloom.operators.cleaning import outlier_counts
 from tallyloom.operators.ingest import load_increment
-from tallyloom.operators.joins import map_of_last
+from tallyloom.operators.evaluation import overall_metrics, roc_auc
+from tallyloom.operators.joins import dense_grid, map_of_last
+from tallyloom.operators.neighbours import knn_join
 from tallyloom.operators.spatial import dissolve
+from tallyloom.plans import timejoin
 from tallyloom.plans.ordering import CELL, ranks, row_numbers, running_sums, with_cells
 
 
@@ -85,3 +89,43 @@ def test_dissolve_on_many_partitions(spark):
         "concat('a', id) AS area", "0 AS part", "array(array(0.0)) AS rings", "0.0 AS min_lon", "1.0 AS max_lon", "0.0 AS min_lat", "1.0 AS max_lat")
     parents = spark.range(8).selectExpr("concat('a', id) AS area", "'p' AS parent")
     assert dissolve(polygons, parents).select("part").distinct().count() == 8
+
+
+@pytest.mark.parametrize("lengths", [(60,), (60, 5000)])
+def test_interval_join_keeps_equal_rows(spark, lengths):
+    at = F.timestamp_seconds(F.lit(1_000_000)).cast("timestamp_ntz")
+    left = spark.range(4).select(F.lit(7).alias("id"), F.when(F.col("id") != 3, 1).alias("k"), at.alias("at"))
+    spans = spark.createDataFrame([(1, n, s) for n, s in enumerate(lengths)], "k int, n int, s int")
+    start = F.timestamp_seconds(F.lit(999_990)).cast("timestamp_ntz")
+    spans = spans.select("k", "n", start.alias("start"), (start + F.make_dt_interval(secs=F.col("s"))).alias("end"))
+    got = timejoin.interval_latest_join(left, spans, ["k"], ["id"], "at", "start", "end", "start", "n", ["n"]).collect()
+    assert sorted((r["k"] or 0, r["id"], r["n"]) for r in got) == [(0, 7, None), (1, 7, 0), (1, 7, 0), (1, 7, 0)]
+
+
+def test_frame_longer_than_look_back(spark):
+    rows = spark.range(3).select(F.lit(1).alias("k"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"))
+    with pytest.raises(ValueError, match="look-back"):
+        timejoin.trailing_window(rows, ["k"], "ts", 600, lambda frame: {"n": F.count("*").over(frame(3600))})
+
+
+def test_neighbours_skip_incomplete_vectors(spark):
+    frame = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [None, 1.0]), (5, [5.0, 0.0])], "id long, v array<double>")
+    got = knn_join(frame, frame, "id", "id", "v", 1, exclude_self=True, pivots=2).collect()
+    assert sorted((r["id"], r["neighbour"]) for r in got) == [(1, 2), (2, 1), (5, 2)]
+
+
+def test_dense_grid(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "a")], "t int, area string")
+    got = dense_grid(rows, "t", "area", rows.groupBy("t", "area").agg(F.count("*").alias("n")), {"n": 0}).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "a", 1), (1, "b", 0), (2, "a", 0), (2, "b", 1)]
+
+
+def test_grouped_metrics(spark):
+    rows = spark.range(600).select(
+        (F.col("id") % 3).alias("g"), (F.col("id") % 7 > 2).cast("double").alias("y"), (F.col("id") % 5 > 1).cast("double").alias("p"), (F.col("id") % 11).cast("double").alias("s"))
+    areas = {r["g"]: r["auc"] for r in roc_auc(rows, "s", "y", ["g"]).collect()}
+    rates = {r["g"]: r["macro_f1"] for r in overall_metrics(rows, "y", "p", ["g"]).collect()}
+    for g in range(3):
+        part = rows.filter(F.col("g") == g)
+        assert areas[g] == pytest.approx(roc_auc(part, "s", "y").first()["auc"])
+        assert rates[g] == pytest.approx(overall_metrics(part, "y", "p").first()["macro_f1"])
