@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -238,6 +239,33 @@ def test_chat(spark):
     assert "".join(r.rendered for r in pages if r.conv_id == 2) == got[2].rendered and chat.render_chats(turns.limit(0)).count() == 0
 
 
+def chats_by_hand(rows, page):
+    """Renders every conversation whose whole turn list is not a proper prefix of another's, smallest id first."""
+    conversations = {}
+    for conv, *turn in rows:
+        conversations.setdefault(conv, []).append(turn)
+    ids = {}
+    for conv, turns in conversations.items():
+        turns.sort(key=lambda turn: [(v is not None, v) if v is not None else (False,) for v in turn])
+        ids.setdefault(tuple((role, text) for _, role, text in turns), []).append(conv)
+    out = set()
+    for turns, convs in ids.items():
+        if not any(len(other) > len(turns) and other[:len(turns)] == turns for other in ids):
+            first = min(convs, key=lambda c: (c is None, c or 0))
+            for k in range(0, len(turns), page):
+                out.add((first, k // page, len(turns), "".join(f"<|{role if role is not None else 'unknown'}|>\n{text or ''}\n<|end|>\n" for role, text in turns[k:k + page])))
+    return out
+
+
+@pytest.mark.parametrize("page", [3, 256])
+def test_chat_by_hand(spark, page):
+    pick = random.Random(page).choice
+    rows = [(pick([None, *range(30)]), pick([None, 0, 0, 1, 2]), pick(["u", "b", None]), pick(["a", "b", "", None])) for _ in range(120)]
+    rows += [(100 + k, j, "u", "abc"[j % 3]) for k in range(6) for j in range(2 * k + 1)] + [(200, None, "u", "x")] * 9
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    assert {tuple(r) for r in chat.render_chats(turns, page=page).collect()} == chats_by_hand(rows, page)
+
+
 def test_rollup(spark, tmp_path):
     schema = "change_id string, source string, lang string, tokenizer string, before bigint, after bigint"
     store = rollup.Rollup(spark, str(tmp_path / "r"))
