@@ -20,12 +20,18 @@ from tallyloom.plans.literals import literal_table
 from tallyloom.plans.scratch import checkpointed
 
 
-def assign_to_centers(df: DataFrame, vector: str, centers: DataFrame, cluster: str, center: str) -> DataFrame:
+def _as_array(few: DataFrame, item: Column, most: int) -> DataFrame:
+    """One row with all items as an array; beyond ``most`` of them the query ends with an error, as the array goes to every task."""
+    too_many = F.raise_error(F.lit(f"more than {most} clusters"))
+    return few.select(item.alias("c")).limit(most + 1).select(F.when(F.count(F.lit(1)) <= most, F.collect_list("c")).otherwise(too_many).alias("cs"))
+
+
+def assign_to_centers(df: DataFrame, vector: str, centers: DataFrame, cluster: str, center: str, most_centers: int = 10_000) -> DataFrame:
     """Nearest center per row (lowest number on a tie) and squared distance.
 
-    The few centers travel as one array value, so rows are not shuffled.
+    The centers, at most ``most_centers``, travel as one array value, so rows are not shuffled.
     """
-    few = centers.select(F.collect_list(F.struct(F.col(cluster).alias("k"), F.col(center).alias("c"))).alias("cs"))
+    few = _as_array(centers, F.struct(F.col(cluster).alias("k"), F.col(center).alias("c")), most_centers)
     options = F.transform("__cs", lambda c: F.struct(squared_l2(F.col(vector), c["c"]).alias("d"), c["k"].alias("k")))
     placed = df.withColumn("__cs", few.scalar()).withColumn("__best", F.array_min(options)).drop("__cs")
     return placed.select("*", F.col("__best.k").alias(cluster), F.col("__best.d").alias("squared_distance")).drop("__best")
@@ -54,11 +60,12 @@ def elbow(df: DataFrame, vector: str, ks: Sequence[int], seed: int) -> DataFrame
     return literal_table(df.sparkSession, rows, "k int, inertia double")
 
 
-def silhouette_squared(df: DataFrame, row_id: str, vector: str, cluster: str) -> DataFrame:
+def silhouette_squared(df: DataFrame, row_id: str, vector: str, cluster: str, most_clusters: int = 10_000) -> DataFrame:
     """Exact silhouette per row with squared Euclidean distance.
 
     The mean squared distance to a cluster follows from its size, mean and
-    sum of squared norms, so the cost is linear in rows.
+    sum of squared norms, so the cost is linear in rows. These figures of at
+    most ``most_clusters`` clusters travel as one array value.
     """
     as_vector = array_to_vector(F.col(vector).cast("array<double>"))
     stats = df.groupBy(cluster).agg(Summarizer.metrics("count", "mean", "normL2").summary(as_vector).alias("s")).select(
@@ -67,7 +74,7 @@ def silhouette_squared(df: DataFrame, row_id: str, vector: str, cluster: str) ->
             F.aggregate(vector_to_array("s.normL2"), F.lit(0.0), lambda a, x: a + x * x).alias("q"),
         ).alias("c")
     )
-    few = stats.select(F.collect_list("c").alias("cs")).scalar()
+    few = _as_array(stats, F.col("c"), most_clusters).scalar()
     x = F.col(vector).cast("array<double>")
     own_norm = F.aggregate("__x", F.lit(0.0), lambda a, v: a + v * v)
 

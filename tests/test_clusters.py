@@ -120,3 +120,10 @@ def test_kmeans_inertia_falls(spark):
     found = [r["inertia"] for r in clustering.elbow(df, "v", [1, 2, 3], 1).orderBy("k").collect()]
     assert found[0] > found[1] > found[2] and found[2] < 1.5
     assert df.select(F.size("v")).first()[0] == 2
+
+
+def test_too_many_clusters_are_refused(spark):
+    df = spark.createDataFrame([(i, [float(i)], i % 3) for i in range(9)], "i bigint, v array<double>, k int")
+    assert clustering.silhouette_squared(df, "i", "v", "k", most_clusters=3).count() == 9
+    with pytest.raises(Exception, match="more than 2 clusters"):
+        clustering.silhouette_squared(df, "i", "v", "k", most_clusters=2).collect()
