@@ -1,8 +1,9 @@
 """Licence scans: a positional rare-token index, in DataFrame functions only.
 
 The templates' words get their IDF from the documents. Each template is filed
-under its rarest words with their positions. A file looks up the words it has
-of those; each posting gives a place where the template would start. A place
+under the rarest word of its mandatory key phrases with its position. A file
+looks up the words it has of those; each posting gives a place where the
+template would start, and no other place can hold the phrases. A place
 counts if the mandatory key phrases stand there word for word, and scores by
 the IDF share of the template's words found at their relative positions.
 """
@@ -78,14 +79,13 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "te
 
 
 def scan_licences(
-    docs: DataFrame, text: str = "text", keep: list[str] | None = None, templates: tuple[Template, ...] = BASE + NOTICES, anchors: int = 3, least_score: float = 0.6,
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, templates: tuple[Template, ...] = BASE + NOTICES, least_score: float = 0.6,
 ) -> DataFrame:
     """``row`` with ``n_words``, ``places`` (template label, whether it is a base phrase, first word, score) and ``score`` (the best, or 0).
 
-    One row per input row. A base phrase is filed under its single rarest word,
-    so that every one of its places is found; a notice under its ``anchors``
-    rarest ones, so that it is found with words changed. Ties in rarity go to
-    the first position. Null and empty texts have no words; an empty table has
+    One row per input row. A template is filed under the rarest word of its
+    mandatory phrases, so that every place where they stand is looked at,
+    whatever the other words are. Ties in rarity go to the first position. Null and empty texts have no words; an empty table has
     no rows; nothing is shuffled but the counts of template words.
     """
     vocabulary = sorted({w for t in templates for w in t.words()})
@@ -95,9 +95,8 @@ def scan_licences(
     postings: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
         words = template.words()
-        ranked = sorted(range(len(words)), key=lambda k: (-idf[words[k]], k))
-        for at in ranked[:1] if not template.keys else ranked[:anchors]:
-            postings.setdefault(words[at], []).append((number, at))
+        at = max((k for k, needed in enumerate(template.mandatory()) if needed), key=lambda k: (idf[words[k]], -k))
+        postings.setdefault(words[at], []).append((number, at))
     rare = sorted(postings)
     filed = F.array(*[F.array(*[F.struct(F.lit(n).alias("template"), F.lit(at).alias("at")) for n, at in postings[w]]) for w in rare])
     texts = F.array(*[F.array(*map(F.lit, t.words())) for t in templates])

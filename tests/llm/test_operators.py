@@ -229,6 +229,16 @@ def test_licences(spark, odd, empty, docs):
         assert r.n_words == len(words) and sorted((p.start, p.label) for p in r.places if p.base) == sorted(want)
 
 
+def test_licence_with_words_changed_outside_its_key(spark):
+    gpl = next(t for t in licences.NOTICES if t.label == "gpl")
+    words = gpl.words()
+    inserted = " ".join([*words[:5], "good", *words[5:]])  # the key stands one place on
+    changed = " ".join(["one", "tool", "was", "gratis", "ware", *words[5:]])  # the rarest words are others
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate([inserted, changed, gpl.text.replace("gnu general", "general gnu")] + ["other words here"] * 40)], "doc_id bigint, text string")
+    got = {r.row.doc_id: [(p.label, p.start) for p in r.places] for r in licences.scan_licences(frame, templates=(gpl,)).collect()}
+    assert got[0] == [("gpl", 1)] and got[1] == [("gpl", 0)] and not any(got[k] for k in got if k > 1)
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "bot", None), (2, 0, "user", "a"), (2, 1, "bot", None), (2, 2, "user", "c"), (3, 0, "user", "a"), (3, 1, "bot", ""),
             (4, 0, "user", "a"), (4, 1, "bot", None), (4, 2, "user", "c"), (None, 5, None, "z"), (7, None, "user", "n")]
