@@ -5,7 +5,9 @@ under the rarest word of its mandatory key phrases with its position. A file
 looks up the words it has of those; each posting gives a place where the
 template would start, and no other place can hold the phrases. A place
 counts if the mandatory key phrases stand there word for word, and scores by
-the IDF share of the template's words found at their relative positions.
+the IDF share of the template's words found at their relative positions. Where
+too little of a notice stands around its key phrase, the phrase is a short form
+of the notice and counts by itself.
 """
 
 from __future__ import annotations
@@ -65,6 +67,25 @@ NOTICES = (
     Template("proprietary", "unauthorized copying of this file via any medium is strictly prohibited proprietary and confidential", ("unauthorized copying of this file",)),
 )
 
+# Short statements, titles and SPDX or version lines: templates whose every word is mandatory.
+SHORT_FORMS = (
+    *(Template(label, f"spdx license identifier {name}") for label, name in (
+        ("mit", "mit"), ("apache-2", "apache 2 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"),
+        ("mpl-2", "mpl 2 0"), ("isc", "isc"), ("unlicense", "unlicense"), ("cc-by", "cc by 3 0"), ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa"))),
+    *(Template("gpl", text) for text in ("gnu gpl", "licensed under the gpl", "gplv2", "gplv3", "gpl v2", "gpl v3", "gpl version 2", "gpl version 3", "gpl 2 0", "gpl 3 0")),
+    *(Template("lgpl", text) for text in ("gnu lgpl", "licensed under the lgpl", "gnu library general public license", "lgplv2", "lgplv3", "lgpl v2", "lgpl v3", "lgpl 2 1", "lgpl 3 0")),
+    *(Template("agpl", text) for text in ("gnu agpl", "licensed under the agpl", "agplv3", "agpl v3", "agpl 3 0")),
+    *(Template("mpl-2", text) for text in ("mozilla public license version 2", "mozilla public license 2 0", "mpl 2 0")),
+    *(Template("bsd", text) for text in ("bsd license", "bsd 2 clause", "bsd 3 clause")),
+    *(Template("apache-2", text) for text in ("apache license 2 0", "licensed under apache 2 0")),
+    *(Template("mit", text) for text in ("license mit", "mit license copyright")),
+    Template("isc", "isc license"),
+    *(Template("cc-by", text) for text in ("creative commons attribution 3 0", "cc by 3 0", "cc by 4 0")),
+    *(Template("cc-by-nc", text) for text in ("creative commons attribution non commercial",)),
+    *(Template("cc-by-sa", text) for text in ("creative commons attribution share alike", "cc by sa")),
+    Template("all-rights-reserved", "all rights reserved"),
+)
+
 
 def words_of(text: str) -> Column:
     lowered = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,13 +100,15 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "te
 
 
 def scan_licences(
-    docs: DataFrame, text: str = "text", keep: list[str] | None = None, templates: tuple[Template, ...] = BASE + NOTICES, least_score: float = 0.6,
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, templates: tuple[Template, ...] = BASE + NOTICES + SHORT_FORMS, least_score: float = 0.6,
 ) -> DataFrame:
     """``row`` with ``n_words``, ``places`` (template label, whether it is a base phrase, first word, score) and ``score`` (the best, or 0).
 
     One row per input row. A template is filed under the rarest word of its
     mandatory phrases, so that every place where they stand is looked at,
-    whatever the other words are. Ties in rarity go to the first position. Null and empty texts have no words; an empty table has
+    whatever the other words are. Ties in rarity go to the first position. A
+    place scores below ``least_score`` only around a notice's key phrases; these
+    then are the place, with score 1, so that a verbatim key always labels. Null and empty texts have no words; an empty table has
     no rows; nothing is shuffled but the counts of template words.
     """
     vocabulary = sorted({w for t in templates for w in t.words()})
@@ -106,6 +129,7 @@ def scan_licences(
         whole = sum(idf[w] for w in template.words())
         shares.append(F.array(*[F.lit(idf[w] / whole) for w in template.words()]))
     weights = F.array(*shares)
+    keyed = F.array(*[F.lit(t.mandatory().index(True)) for t in templates])
     labels, base = F.array(*[F.lit(t.label) for t in templates]), F.array(*[F.lit(t.base) for t in templates])
 
     kept = docs.columns if keep is None else keep
@@ -128,9 +152,14 @@ def scan_licences(
         whole = F.forall(steps, lambda k: found(k) | ~F.get(F.get(needed, place.template), k))
         score = F.aggregate(steps, F.lit(0.0), lambda s, k: s + F.when(found(k), F.get(F.get(weights, place.template), k)).otherwise(0.0))
         return F.struct(F.get(labels, place.template).alias("label"), F.get(base, place.template).alias("base"), place.start.cast("long").alias("start"),
-                        F.least(F.round(score, 9), F.lit(1.0)).alias("score"), whole.alias("whole"))
+                        F.least(F.round(score, 9), F.lit(1.0)).alias("score"), whole.alias("whole"), F.get(keyed, place.template).alias("key"))
+
+    def reported(place: Column) -> Column:
+        short = place.score < least_score
+        return F.struct(place.label.alias("label"), place.base.alias("base"), F.when(short, place.start + place.key).otherwise(place.start).alias("start"),
+                        F.when(short, 1.0).otherwise(place.score).alias("score"), place.whole.alias("whole"))
 
-    places = F.filter(F.transform("starts", verified), lambda p: p.whole & (p.score >= least_score))
+    places = F.transform(F.filter(F.transform("starts", verified), lambda p: p.whole), reported)
     frame = frame.select("row", F.size("words").cast("long").alias("n_words"), places.alias("places"))
     return frame.withColumn("score", F.coalesce(F.array_max(F.transform("places", lambda p: p.score)), F.lit(0.0)))
 

@@ -239,6 +239,19 @@ def test_licence_with_words_changed_outside_its_key(spark):
     assert got[0] == [("gpl", 1)] and got[1] == [("gpl", 0)] and not any(got[k] for k in got if k > 1)
 
 
+def test_short_licence_lines(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl", "(c) A. All rights reserved.": "all-rights-reserved", "SPDX-License-Identifier: LGPL-2.1-only": "lgpl",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2", "released under GPLv3 or later": "gpl", "SPDX-License-Identifier: MIT": "mit", "all rights are reserved, general public": "",
+    }
+    lines |= {f"see {key} please": t.label for t in licences.NOTICES for key in t.keys}
+    lines |= {t.text: t.label for t in licences.SHORT_FORMS}
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    for r in licences.scan_licences(frame.withColumn("label", F.lit(None).cast("string"))).select("row.*", "score", "places", licences.label_list(F.col("places")).alias("labels")).collect():
+        assert set(filter(None, [lines[r.text]])) <= set(r.labels.split(",")) and (r.score == 1) == bool(lines[r.text])
+        assert "see" not in r.text.split() or [p.start for p in r.places] == [1]
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "bot", None), (2, 0, "user", "a"), (2, 1, "bot", None), (2, 2, "user", "c"), (3, 0, "user", "a"), (3, 1, "bot", ""),
             (4, 0, "user", "a"), (4, 1, "bot", None), (4, 2, "user", "c"), (None, 5, None, "z"), (7, None, "user", "n")]
