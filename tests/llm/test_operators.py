@@ -75,6 +75,24 @@ def test_bands_reject_repetition_and_noise():
     assert not quality.verdict(b"same words again " * 2000, bands, z)[3] and not quality.verdict(noise, bands, z)[3]
 
 
+def test_learned_bands_part_low_quality_from_clean(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    rows = [r for r in quality.quality_features(docs, keep=["doc_id"]).collect() if not r.base_failed]
+    low, clean = ([r.kept for r in rows if labels.get(r.row.doc_id) == q] for q in (0, 1))
+    assert sum(not k for k in low) >= 0.3 * len(low) > 0 and sum(clean) >= 0.99 * len(clean) > 0
+
+
+def test_bands_of_copies_and_rare_lengths(spark):
+    pick = random.Random(5)
+    made = [" ".join("".join(pick.choices("abcdefghij", k=pick.randint(2, 8))) for _ in range(200)) for _ in range(80)]
+    lists = [" | ".join("".join(pick.choices("ab", k=4)) for _ in range(200)) for _ in range(4)]
+    copies, long = [made[0][:-1] + "x"] * 400, [" ".join(made[:12])]
+    frame = spark.createDataFrame([(t,) for t in made + lists + copies + long], "text string")
+    kept = {r.row.text: r.kept for r in quality.quality_features(frame).collect()}
+    assert all(kept[t] for t in made + copies + long) and not any(kept[t] for t in lists)
+
+
 def test_bpe(docs, odd, empty):
     ranks = bpe.read_ranks(RANKS)
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
