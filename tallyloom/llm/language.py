@@ -3,8 +3,9 @@
 Subwords are byte n-grams inside words, with the spaces around them, hashed to
 a fixed number of buckets. A text is the mean of its subwords' embeddings; a
 softmax over a linear map of it gives the languages. Both are trained by
-stochastic gradient descent in numpy on a bounded sample. A temperature and a
-rejection threshold are fitted on a part of the sample kept apart.
+stochastic gradient descent in numpy on a bounded sample. A temperature is
+fitted on a part of the sample kept apart; a guess is accepted if it then is
+likelier than not (``least_score``), however many of the labels are wrong.
 """
 
 from __future__ import annotations
@@ -38,7 +39,6 @@ class Settings:
     epochs: int = 8
     rate: float = 0.5
     calibration: float = 0.2
-    least_accuracy: float = 0.99
     least_score: float = 0.5
     seed: int = 7
 
@@ -130,24 +130,17 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], settings: Settings)
             bias -= 0.1 * rate * error
             # the mean spreads a step over many buckets; scaled up so that rare subwords move too
             emb[buckets] -= (rate * len(buckets) ** 0.5) * np.outer(share, back)
-    model = Model(settings, labels, emb, weights, bias)
+    model = Model(settings, labels, emb, weights, bias, threshold=settings.least_score if len(labels) > 1 else 0.0)
     if len(held):
         calibrate(model, np.array([shares[k] @ model.table[samples[k][1]] + bias for k in held]), target[held])
     return model
 
 
 def calibrate(model: Model, logits: np.ndarray, target: np.ndarray) -> None:
-    """The temperature of least log loss, and the lowest score above which the kept-apart rows are right often enough."""
+    """The temperature of least log loss on the kept-apart rows."""
     rows = np.arange(len(target))
     scales = np.geomspace(0.05, 20, 60)
     model.temperature = float(min(scales, key=lambda t: -np.log(softmax(logits / t)[rows, target] + 1e-12).mean()))
-    p = softmax(logits / model.temperature)
-    score, right = p.max(axis=1), p.argmax(axis=1) == target
-    order = np.argsort(-score)
-    good = np.flatnonzero(np.cumsum(right[order]) >= model.settings.least_accuracy * np.arange(1, len(order) + 1))
-    last = good[-1] if len(good) else -1
-    rejected = score[order[last + 1:]]
-    model.threshold = max(model.settings.least_score if len(model.labels) > 1 else 0.0, float(rejected[0]) + 1e-12 if len(rejected) else 0.0)
 
 
 def fit_languages(docs: DataFrame, usable: Column, lang: str = "lang", text: str = "text", key: str = "doc_id", settings: Settings = Settings()) -> Model | None:

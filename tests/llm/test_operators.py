@@ -126,6 +126,26 @@ def test_language(docs, odd, empty):
     assert {r.lang_pred for r in language.identify(odd, None).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("percent", [2, 5])
+def test_language_with_wrong_labels_keeps_clean_documents(percent):
+    pick, settings = random.Random(percent), language.Settings()
+    alphabets = {"aa": "abcdefgh", "bb": "ijklmnop", "cc": "qrstuvwx", "dd": "acegikmo"}
+
+    def made(lang):
+        return " ".join("".join(pick.choices(alphabets[lang], k=5)) for _ in range(40)).encode()
+
+    samples, names = [], sorted(alphabets)
+    for k in range(1600):
+        lang = names[k % 4]
+        shown = pick.choice([x for x in names if x != lang]) if pick.random() < percent / 100 else lang
+        samples.append((shown, *language.counts_of(made(lang), settings)))
+    model = language.train(samples, settings)
+    guesses = [(lang, *model.guess(made(lang))) for lang in names * 50]
+    assert sum(ok for *_, ok in guesses) >= 0.97 * len(guesses) and sum(lang == got for lang, got, *_ in guesses) >= 0.97 * len(guesses)
+    logits = np.zeros(4)
+    assert language.softmax(logits / model.temperature).max() < model.threshold  # an undecided text is rejected
+
+
 def plain_classes(texts):
     sets = []
     for text in texts:
