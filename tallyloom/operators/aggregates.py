@@ -32,9 +32,12 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
 def cross_tab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
     """Counts by two columns, zero where a pair does not occur.
 
-    The column values are given, so no extra pass finds them.
+    The column values are given, so no extra pass finds them; a row with any
+    other value or null is an error.
     """
-    return df.groupBy(rows).pivot(columns, list(values)).count().na.fill(0)
+    message = F.concat(F.lit(f"value of {columns} not listed: "), F.coalesce(F.col(columns).cast("string"), F.lit("null")))
+    listed = F.when(F.col(columns).isin(list(values)), F.col(columns)).otherwise(F.raise_error(message))
+    return df.withColumn(columns, listed).groupBy(rows).pivot(columns, list(values)).count().na.fill(0)
 
 
 def describe(df: DataFrame, column: str, keys: Sequence[str], digits: int) -> DataFrame:
