@@ -27,7 +27,7 @@ def connect(sf_dir: str):
 
 
 def _cell(value):
-    if value is None or value is pd.NaT:
+    if value is None or value is pd.NaT or value is pd.NA:
         return None
     if hasattr(value, "tolist"):
         value = value.tolist()
@@ -51,7 +51,10 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     """None when equal, else a short description of the difference."""
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
+    got = got.copy()
     for column in got.columns:
+        if str(want[column].dtype) == "Int64" and str(got[column].dtype) == "float64":
+            got[column] = got[column].astype("Int64")  # toPandas gives long columns with nulls as floats
         kinds = {str(got[column].dtype), str(want[column].dtype)}
         families = {"time" if k.startswith("datetime") else k.rstrip("0123456789").lower() for k in kinds}
         families = {"str" if k in ("object", "string") else k for k in families}
