@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chat, decontaminate, language, licences, ngram_join, quality, rollup, scoring, sharding
-from tallyloom.llm.common import fold_of
+from tallyloom.llm import bpe, chat, classifier, decontaminate, language, licences, ngram_join, quality, rollup, runs, scoring, sharding, stripes
+from tallyloom.llm.common import WORDS, fold_of
 from tallyloom.plans.scratch import run_dir
 from tallyloom.session import Tables
 
@@ -189,3 +189,94 @@ WITH slots AS (SELECT unnest(range(8191)) AS slot, unnest([{','.join(map(str, sh
 SELECT doc_id, CAST(d.slot AS INTEGER) AS slot, 'shard-' || lpad(CAST(k AS VARCHAR), 2, '0') AS shard
 FROM (SELECT doc_id, ('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:15])::BIGINT % 8191 AS slot FROM documents) d JOIN slots USING (slot)
 """
+
+
+@query("op11_source_divergence", sql=r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), t AS (SELECT lang, source, k, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN cells USING (lang, source) GROUP BY lang, source),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(cells.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(cells.c, 0) + 2)) // (g.n + 2 * v) AS p,
+           1 + (1000000000::HUGEINT * (k.c + 2)) // (langs.n + 2 * v) AS q
+    FROM groups g JOIN langs USING (lang) JOIN kept k USING (lang) LEFT JOIN cells ON cells.lang = g.lang AND cells.source = g.source AND cells.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value FROM p x JOIN p y USING (lang, term) GROUP BY x.lang, x.source, y.source
+    ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM ranked) WHERE part = 'pair' OR rank <= 10
+""")
+def op11(t: Tables) -> DataFrame:
+    """Divergence of every source from each other source of its language, and its leading terms."""
+    return stripes.source_divergences(t.documents)
+
+
+def with_period(text: Column, key: Column) -> Column:
+    """The text, or for a tenth of the keys its words up to a place and from there on the same words over and over."""
+    hashed = F.crc32(F.coalesce(key.cast("string"), F.lit("")))
+    g = F.floor(hashed / 10)
+    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
+    parts = F.transform(F.array(words), lambda w: F.struct(w.alias("w"), (g % F.size(w)).alias("a")))
+    parts = F.transform(parts, lambda s: F.struct(s.w.alias("w"), s.a.alias("a"), (1 + F.floor((F.size(s.w) - s.a) / (3 + g % 8))).alias("p")))
+    made = F.transform(parts, lambda s: F.array_join(F.transform(s.w, lambda w, i: F.when(i < s.a, w).otherwise(F.get(s.w, (s.a + (i - s.a) % s.p).cast("int")))), " "))
+    return F.when((hashed % 10 == 0) & text.rlike(WORDS), made[0]).otherwise(text)
+
+
+@query("op12_periodic_runs", sql=r"""
+WITH t AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n::BIGINT] || repeat([0::BIGINT], 8), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+), h AS (
+    SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(1, length(coalesce(CAST(doc_id AS VARCHAR), '')) + 1), lambda i: ascii(CAST(doc_id AS VARCHAR)[i])::BIGINT),
+               lambda c, b: xor(c // 256, crc[xor(c, b) % 256 + 1]))) AS h
+    FROM documents, t
+), a AS (SELECT *, len(w) AS n, h // 10 AS g FROM h),
+d AS (
+    SELECT doc_id, k, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+        list_transform(range(n), lambda i: CASE WHEN i < g % n THEN w[i + 1] ELSE w[g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) + 1] END) ELSE w END AS w
+    FROM a
+), word AS (SELECT k, unnest(range(n)) AS i, unnest(w) AS word FROM d),
+same AS (SELECT x.k, y.i - x.i AS q, x.i AS i FROM word x JOIN word y ON x.k = y.k AND x.word = y.word AND x.i < y.i),
+stretch AS (SELECT k, q, min(i) AS s, max(i) + 1 + q AS e FROM (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM same) GROUP BY k, q, island),
+runs AS (SELECT k, s, e - s AS length, min(q) AS q FROM stretch WHERE e - s >= greatest(12, 2 * q) GROUP BY k, s, e),
+told AS (
+    SELECT k, count(*) AS n_runs, max({'length': length, 'start': -s, 'period': -q}) AS best, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+    FROM runs GROUP BY k
+), gone AS (SELECT k, list(DISTINCT i) AS gone FROM (SELECT k, unnest(range(s + q, s + length)) AS i FROM runs) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.start AS start, best.length AS length, -best.period AS period, 1000 * best.length // -best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE
+           coalesce((SELECT string_agg(word, ' ' ORDER BY i) FROM word WHERE word.k = d.k AND NOT list_contains(gone, i)), '') END) AS collapsed_sha256
+FROM d LEFT JOIN told USING (k) LEFT JOIN gone USING (k)
+""")
+def op12(t: Tables) -> DataFrame:
+    """Runs of every document, after the words of a tenth of them have been made periodic."""
+    docs = t.documents.select("doc_id", with_period(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.periodic_runs(docs, keep=["doc_id"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in runs.RUN.names]), F.lit("\n"))), "")
+    told = found.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return told.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), "best.length", (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_quality_classifier")
+def op13(t: Tables) -> DataFrame:
+    """Quality score of every document, learned without the fold of remainder 1."""
+    labels = t.labels
+    forest = classifier.fit_classifier(t.documents, labels, fold_of(labels["doc_id"], 3) != 1)
+    scored = classifier.score_quality(t.documents, forest, keep=["doc_id"])
+    return scored.select("row.doc_id", (fold_of(F.col("row.doc_id"), 3) == 1).alias("held_out"), *classifier.SCORE.names)
