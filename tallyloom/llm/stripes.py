@@ -18,6 +18,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,33 +109,52 @@ def _emit(stripes: dict[str, dict[bytes, dict]], rows: int = 20_000) -> Iterator
 
 
 def _merge(least: int):
-    """Sums up stripes of equal key, which come one after the other; drops terms in fewer than ``least`` documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, stripe, done, cells = None, {}, {}, 0
-
-        def close() -> int:
-            if key is None or (stripe[None] < least and key[1] != _GROUPS):
-                return 0
-            done.setdefault(key[0], {})[key[1]] = stripe
-            return len(stripe)
+    """Sums up stripes of equal key, which come one after the other; drops terms in fewer than ``least`` documents.
 
+    The last key of a batch may go on in the next one, so its stripe, summed up so far, is carried over.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = None
         for batch in batches:
-            for lang, term, documents, sources, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                if (lang, term) != key:
-                    cells += close()
-                    if cells > 200_000:
-                        yield from _emit(done)
-                        done, cells = {}, 0
-                    key, stripe = (lang, term), {None: 0}
-                stripe[None] += documents
-                for source, n in zip(sources, counts):
-                    stripe[source] = stripe.get(source, 0) + n
-        close()
-        yield from _emit(done)
+            rows = pa.Table.from_batches([b for b in (carried, batch) if b is not None]).combine_chunks().to_batches()
+            for some in rows:
+                closed, carried = _merged(some, least)
+                yield closed
+        if carried is not None and (carried.column(2)[0].as_py() >= least or carried.column(1)[0].as_py() == _GROUPS):
+            yield carried
 
     return run
 
 
+def _merged(rows: pa.RecordBatch, least: int) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """The kept stripes of all keys but the last, and the last key's stripe."""
+    langs, terms, documents, sources, counts = rows.columns
+    differs = pc.or_(pc.not_equal(langs[1:], langs[:-1]), pc.not_equal(terms[1:], terms[:-1])).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(np.append(True, differs))
+    summed = np.add.reduceat(documents.to_numpy(), first)
+    kept = (summed >= least) | pc.equal(terms.take(pa.array(first)), _GROUPS).to_numpy(zero_copy_only=False)
+    kept[-1] = True
+    place = np.where(kept, np.cumsum(kept) - 1, -1)
+    number = int(kept.sum())
+    of_row = np.repeat(place, np.diff(np.append(first, len(rows))))
+    of_cell = np.repeat(of_row, np.diff(sources.offsets.to_numpy()))
+    mine = of_cell >= 0
+    names = sources.flatten().dictionary_encode()
+    width = len(names.dictionary)
+    cells = of_cell[mine] * width + names.indices.to_numpy()[mine]
+    order = np.argsort(cells, kind="stable")
+    cells = cells[order]
+    starts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    totals = np.add.reduceat(counts.flatten().to_numpy()[mine][order], starts)
+    cells = cells[starts]
+    offsets = pa.array(np.searchsorted(cells, np.arange(number + 1) * width), pa.int32())
+    at = pa.array(first[kept])
+    made = pa.RecordBatch.from_arrays([
+        langs.take(at), terms.take(at), pa.array(summed[kept]), pa.ListArray.from_arrays(offsets, names.dictionary.take(pa.array(cells % width))),
+        pa.ListArray.from_arrays(offsets, pa.array(totals))], names=_STRIPES.names)
+    return made.slice(0, number - 1), made.slice(number - 1)
+
+
 @dataclass
 class Groups:
     """A language's sources in order, the sums of their kept terms' counts, the tile of each, and the number of kept terms."""
@@ -297,6 +317,9 @@ def source_divergences(
     both = F.array(F.struct(F.col("pair.a").alias("source"), F.col("pair.b").alias("item")), F.struct(F.col("pair.b").alias("source"), F.col("pair.a").alias("item")))
     pairs = pairs.select("lang", F.inline(both), "value").select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     leading = parts.filter("part = 'term'").select("lang", "source", "part", F.col("item").cast("string").alias("item"), "value")
+    # each task gives a source's greatest terms; they are cut again by a hash of the term before a source's come together
+    salted = Window.partitionBy("lang", "source", F.pmod(F.xxhash64("item"), F.lit(32))).orderBy(F.desc("value"), F.asc("item"))
+    leading = leading.withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= top).drop("rank")
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), F.asc("item"))
     ranked = pairs.unionByName(leading).withColumn("rank", F.row_number().over(order))
     return ranked.filter((F.col("part") == "pair") | (F.col("rank") <= top))
