@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import vectors
 from tallyloom.operators import clustering as cl
+from tallyloom.operators import density
 from tallyloom.operators import evaluation as ev
 from tallyloom.operators import features as ft
 from tallyloom.operators import models as md
@@ -239,6 +240,28 @@ def eps_sweep(t):
     return cl.eps_sweep(_plane(t), "vec_id", "x", "y", [0.02, 0.04], _MIN)
 
 
+#: The radius of whole vectors, and the SQL of the same clusters over all components.
+_REACH = 1.14
+
+
+def _db_whole(eps):
+    plane = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
+    points = "p AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings)"
+    return points + _db(eps)[_db(eps).index(",\n    nb AS"):].replace(plane, "list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))")
+
+
+@query("m27_dbscan_vectors", f"WITH RECURSIVE {_db_whole(_REACH)} SELECT vec_id, cluster, kind FROM db")
+def dbscan_vectors(t):
+    return density.dbscan_vectors(t.embeddings, "vec_id", "embedding", _REACH, _MIN)
+
+
+@query("m27_eps_sweep_vectors", " UNION ALL ".join(f"""(WITH RECURSIVE {_db_whole(e)} SELECT {e}::DOUBLE AS eps, count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS clusters,
+      count(*) FILTER (WHERE kind = 'core') AS core, count(*) FILTER (WHERE kind = 'border') AS border, count(*) FILTER (WHERE kind = 'noise') AS noise FROM db)"""
+    for e in (1.1, 1.16)))
+def eps_sweep_vectors(t):
+    return density.eps_sweep_vectors(t.embeddings, "vec_id", "embedding", [1.1, 1.16], _MIN)
+
+
 _REFERENCE = "r AS (SELECT label, list_transform(arg_min(embedding, vec_id), lambda x: x::DOUBLE) AS w FROM embeddings GROUP BY label)"
 
 
