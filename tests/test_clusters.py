@@ -68,15 +68,13 @@ def test_knn_join_in_small_blocks(spark):
     assert [have[i] for i in range(len(points))] == want.tolist()
 
 
-def test_components(spark):
-    rng = np.random.default_rng(9)
-    edges = [(i, i + 1) for i in range(0, 60)] + [(100, int(j)) for j in range(101, 140)] + [
-        (int(a) + 200, int(b) + 200) for a, b in rng.integers(0, 80, (60, 2))]
+def check_components(spark, edges):
     parent = {}
 
     def root(a):
         parent.setdefault(a, a)
         while parent[a] != a:
+            parent[a] = parent[parent[a]]
             a = parent[a]
         return a
 
@@ -88,6 +86,19 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
 
 
+def test_components(spark):
+    rng = np.random.default_rng(9)
+    check_components(spark, [(i, i + 1) for i in range(0, 60)] + [(100, int(j)) for j in range(101, 140)] + [
+        (int(a) + 200, int(b) + 200) for a, b in rng.integers(0, 80, (60, 2))])
+
+
+def test_components_with_hubs(spark):
+    """Hubs of the smallest, the largest and a middle node of their component, two of them joined late."""
+    rng = np.random.default_rng(10)
+    hubs = [(0, i) for i in range(1, 1501)] + [(9000, i) for i in range(5000, 6500)] + [(20000, int(i)) for i in rng.integers(19000, 23000, 3000)]
+    check_components(spark, hubs + [(1400, 30001), (30001, 30000), (30000, 6400)] + [(40000 + i, 40001 + i) for i in range(50)])
+
+
 def test_smote_balances_classes_on_segments(spark):
     rng = np.random.default_rng(10)
     rows = [(i, int(i % 5 == 0), float(a), float(b)) for i, (a, b) in enumerate(rng.random((203, 2)))]
