@@ -344,11 +344,20 @@ def isotonic_scale(held_out: DataFrame, df: DataFrame, score: str, label: str, o
     return model.setPredictionCol(out).transform(df.withColumn("__s", F.col(score))).drop("__s")
 
 
-def rolling_origin_mean(df: DataFrame, period: str, target: str, folds: Iterable[int]) -> DataFrame:
+def rolling_origin_mean(df: DataFrame, period: str, target: str, folds: Iterable[int] | None = None) -> DataFrame:
     """Backtest of the historical mean: trained on all earlier periods, tested
-    on the next. Sums per period carry over, so rows are read twice only."""
+    on the next. Sums per period carry over, so rows are read twice only.
+
+    Without ``folds`` every period that has an earlier one is a fold. A null
+    period or target belongs to no fold.
+    """
+    df = df.filter(F.col(period).isNotNull() & F.col(target).isNotNull())
     sums = df.groupBy(period).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    grid_rows = literal_table(df.sparkSession, [(int(f),) for f in folds], "fold bigint")
+    if folds is None:
+        grid_rows = sums.select(F.col(period).cast("bigint").alias("fold"))
+    else:
+        grid_rows = literal_table(df.sparkSession, [(int(f),) for f in folds], "fold bigint")
+    # one row a period on either side
     history = grid_rows.join(sums, F.col(period) < F.col("fold")).groupBy("fold").agg(
         (F.sum("__s") / F.sum("__n")).alias("__mean"), F.sum("__n").alias("train_rows"))
     tested = df.join(history, F.col(period) == F.col("fold"))

@@ -1,6 +1,6 @@
 """Ingestion: payloads, drift, and repeatable loads."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -232,18 +232,23 @@ def polymorphic_payload(t):
 @query("i15_backfill", """
     SELECT day(ts) AS day, user_id, count(*) AS n FROM events GROUP BY ALL""")
 def backfill(t):
-    """Two intervals, the later one first and twice."""
+    """The table's days in two intervals, the later one first and twice."""
     path = run_dir(t.spark, "backfill")
+    date = F.to_date("ts")
 
     def job(rows):
-        return rows.groupBy(F.day("ts").alias("day"), "user_id").agg(F.count("*").alias("n"))
+        return rows.groupBy(date.alias("date"), "user_id").agg(F.count("*").alias("n"))
 
-    moments = [datetime(2024, 1, 1), datetime(2024, 1, 16), datetime(2024, 2, 1)]
+    first, last = t.events.agg(F.min(date), F.max(date)).first()
+    if first is None:
+        return t.events.select(F.day("ts").cast("long").alias("day"), "user_id", F.lit(1).cast("long").alias("n"))
+    moments = [datetime.combine(d, datetime.min.time()) for d in (first, first + (last - first) / 2, last + timedelta(days=1))]
     for start, end in ((moments[1], moments[2]), (moments[0], moments[1]), (moments[1], moments[2])):
         ig.backfill(
-            lambda: t.events, job, "ts", F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), path, ["day"]
+            lambda: t.events, job, "ts", F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), path, ["date"]
         )
-    return t.spark.read.parquet(path).select(F.col("day").cast("long").alias("day"), "user_id", "n")
+    days = t.spark.read.parquet(path)
+    return days.groupBy(F.day("date").cast("long").alias("day"), "user_id").agg(F.sum("n").alias("n"))
 
 
 @query("k4_document_to_rows", f"""

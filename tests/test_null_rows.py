@@ -129,3 +129,27 @@ def test_grouped_metrics(spark):
         part = rows.filter(F.col("g") == g)
         assert areas[g] == pytest.approx(roc_auc(part, "s", "y").first()["auc"])
         assert rates[g] == pytest.approx(overall_metrics(part, "y", "p").first()["macro_f1"])
+
+
+def test_rolling_origin_takes_every_period(spark):
+    from tallyloom.operators import models
+
+    rows = [(0, 1.0), (0, 3.0), (2, 5.0), (7, 6.0), (7, None), (None, 9.0), (-3, 2.0)]
+    df = spark.createDataFrame(rows, "period bigint, value double")
+    got = {r["fold"]: (r["train_rows"], r["test_rows"], r["mae"]) for r in models.rolling_origin_mean(df, "period", "value").collect()}
+    assert got == {0: (1, 2, 1.0), 2: (3, 1, 3.0), 7: (4, 1, 3.25)}
+    assert {r["fold"] for r in models.rolling_origin_mean(df, "period", "value", [2]).collect()} == {2}
+    assert models.rolling_origin_mean(df.limit(0), "period", "value").count() == 0
+
+
+@pytest.mark.parametrize("days", [[], [(2024, 2, 29)], [(2023, 12, 30), (2024, 1, 30), (2024, 3, 5)]])
+def test_backfill_covers_the_whole_table(spark, tmp_path, days):
+    from tallyloom.queries import QUERIES
+
+    rows = [(datetime(*d, h), u) for d in days for h in (0, 13, 23) for u in (1, 2)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, user_id bigint").write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r["day"], r["user_id"]): r["n"] for r in QUERIES["i15_backfill"](spark, str(tmp_path)).collect()}
+    want = {}
+    for ts, u in rows:
+        want[ts.day, u] = want.get((ts.day, u), 0) + 1
+    assert got == want
