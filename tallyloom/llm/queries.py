@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, chat, classifier, decontaminate, language, licences, ngram_join, quality, rollup, runs, scoring, sharding, stripes
 from tallyloom.llm.common import WORDS, fold_of
-from tallyloom.plans.scratch import run_dir
+from tallyloom.plans.scratch import materialised, run_dir
 from tallyloom.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,7 +145,7 @@ _VERSIONS = {"space-1": r"[^\x20\x09-\x0D]+", "term-2": r"[^\x00-\x2F\x3A-\x40\x
 WITH d AS (
     SELECT source, lang, crc32 AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS a,
            len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS b
-    FROM (SELECT *, doc_id % 10 AS crc32 FROM documents)
+    FROM (SELECT *, ((coalesce(doc_id, 0) % 10) + 10) % 10 AS crc32 FROM documents)
 ), e AS (
     SELECT source, lang, 'space-1' AS tokenizer, a AS n FROM d WHERE k IN (0, 1, 2, 3, 4, 5)
     UNION ALL SELECT source, lang, 'term-2', b FROM d WHERE k IN (6, 7)
@@ -156,16 +156,21 @@ def op3(t: Tables) -> DataFrame:
     """All documents arrive; ids ending in 8 and 9 are deleted, those in 6 and 7 counted anew by the second tokenizer; batches come twice."""
     docs = t.documents
     space, term = (rollup.count_tokens(docs["text"], p) for p in _VERSIONS.values())
-    last = docs["doc_id"] % 10
-
-    def change(name: str, version: str, before: Column, after: Column, rows: Column) -> DataFrame:
-        return docs.filter(rows).select(
-            F.concat_ws(":", F.lit(name), docs["doc_id"].cast("string")).alias("change_id"), "source", "lang", F.lit(version).alias("tokenizer"), before.alias("before"), after.alias("after"))
-
-    none = F.lit(None).cast("long")
-    insert = change("insert", "space-1", none, space, F.lit(True))
-    gone = change("delete", "space-1", space, none, last.isin(8, 9))
-    recount = change("drop", "space-1", space, none, last.isin(6, 7)).unionByName(change("recount", "term-2", none, term, last.isin(6, 7)))
+    last = F.pmod(F.coalesce(docs["doc_id"], F.lit(0)), F.lit(10))
+    # each row gets a number of its own, kept in a table, so that changes of equal rows stay apart and a repeated delivery does not
+    counted = materialised(docs.select(
+        F.monotonically_increasing_id().alias("row"), "source", "lang", last.alias("last"), space.alias("space"), F.when(last.isin(6, 7), term).alias("term")), "token-counts")
+
+    def change(name: str, version: str, before: Column | None, after: Column | None, rows: Column) -> DataFrame:
+        none = F.lit(None).cast("long")
+        return counted.filter(rows).select(
+            F.concat_ws(":", F.lit(name), F.col("row").cast("string")).alias("change_id"), "source", "lang", F.lit(version).alias("tokenizer"),
+            (none if before is None else before).alias("before"), (none if after is None else after).alias("after"))
+
+    space, term, last = F.col("space"), F.col("term"), F.col("last")
+    insert = change("insert", "space-1", None, space, F.lit(True))
+    gone = change("delete", "space-1", space, None, last.isin(8, 9))
+    recount = change("drop", "space-1", space, None, last.isin(6, 7)).unionByName(change("recount", "term-2", None, term, last.isin(6, 7)))
     store = rollup.Rollup(t.spark, run_dir(t.spark, "rollup"))
     store.commit("inserts", insert)
     for _ in range(2):

@@ -20,12 +20,13 @@ def signed_totals(changes: DataFrame) -> DataFrame:
     ``before`` and ``after`` are a document's token counts: an insert has no
     ``before``, a delete no ``after``, a revision both. A change delivered
     twice within the batch (same ``change_id``; null ids are all different)
-    counts once. Null group values are a group.
+    counts once; should its deliveries differ, the least of them does. Null
+    group values are a group.
     """
     signs = (F.col("after").isNotNull().cast("long") - F.col("before").isNotNull().cast("long"))
     tokens = F.coalesce("after", F.lit(0)) - F.coalesce("before", F.lit(0))
-    named = changes.filter("change_id IS NOT NULL").groupBy("change_id").agg(*[F.first(c).alias(c) for c in (*KEYS, "before", "after")])
-    all_ = named.select(*KEYS, "before", "after").unionByName(changes.filter("change_id IS NULL").select(*KEYS, "before", "after"))
+    named = changes.filter("change_id IS NOT NULL").groupBy("change_id").agg(F.min(F.struct(*KEYS, "before", "after")).alias("change"))
+    all_ = named.select("change.*").unionByName(changes.filter("change_id IS NULL").select(*KEYS, "before", "after"))
     return all_.groupBy(*KEYS).agg(F.sum(signs).cast("long").alias("d_docs"), F.sum(tokens).cast("long").alias("d_tokens"))
 
 

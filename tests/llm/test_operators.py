@@ -341,6 +341,18 @@ def test_rollup(spark, tmp_path):
         store.commit("a/b", second)
 
 
+def test_rollup_query_counts_every_row(spark, tmp_path):
+    import duckdb
+    from oracle import compare
+
+    rows = [(k, "a b, c", "en", "s") for k in (None, None, 3, 3, 8, 8, 6, 6, -4, 17)] + [(6, "other words", None, None), (6, None, "en", "s")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op3_token_rollup"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(got, con.execute(ORACLES["op3_token_rollup"]).df()) is None and got.n_docs.sum() == 10
+
+
 def test_sharding(spark, odd, empty):
     names = [f"n{k}" for k in range(9)]
     table = sharding.fill_table(names, 1009)
