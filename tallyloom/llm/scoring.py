@@ -44,10 +44,45 @@ def spread(body: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.decompress(body), "<u8"), dtype=np.uint64)
 
 
-def tokens_of(body: bytes) -> np.ndarray:
-    """63-bit hashes of the words, then the end; the lowest bit is free."""
+class Hashes(dict):
+    """63-bit hashes of words, the lowest bit free; remembers those of up to ``most`` words."""
+
+    def __init__(self, most: int = 400_000):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        hashed = self[word] = xxhash.xxh3_64_intdigest(word) & ~1
+        return hashed
+
+
+def tokens_of(body: bytes, hashes: Hashes) -> np.ndarray:
+    """Hashes of the words, then the end."""
     words = body.split()
-    return np.fromiter([*[xxhash.xxh3_64_intdigest(w) & ~1 for w in words], _CLOSE], np.uint64, len(words) + 1)
+    return np.fromiter([*map(hashes.__getitem__, words), _CLOSE], np.uint64, len(words) + 1)
+
+
+class Answers:
+    """Values of sorted distinct keys, found by a slot of a hash; a key whose slot another one took is searched for."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        bits = max(8, (4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, np.int32)
+        self.slots[self.place(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that are all known."""
+        at = self.slots[self.place(keys)]
+        missed = np.flatnonzero(self.keys[at] != keys)
+        at[missed] = np.searchsorted(self.keys, keys[missed])
+        return self.values[at]
 
 
 class Gathered:
@@ -78,7 +113,8 @@ def part_of(keys: np.ndarray, kind: int, depth: int, parts: int) -> np.ndarray:
 
 
 def score_documents(
-    docs: DataFrame, training: Column, text: str = "text", keep: list[str] | None = None, depth: int = 5, block_bytes: int = 12_000_000, most_parts: int = 1024,
+    docs: DataFrame, training: Column, text: str = "text", keep: list[str] | None = None, depth: int = 5, block_bytes: int = 12_000_000, part_bytes: int = 16_000_000,
+    most_parts: int = 1024, most_tasks: int = 100_000,
 ) -> DataFrame:
     """``row`` with token counts, the add-one unigram score, and the context-tree score with its code length per byte.
 
@@ -87,10 +123,16 @@ def score_documents(
     training rows N and V are 0 and all bytes are even. Repeated rows count as
     often as they come; a text of any length is scored whole (it can make a
     block of its own). Tokens are told apart by 63-bit hashes.
+
+    The model has a part for every ``part_bytes`` of text, up to ``most_parts``: by
+    then the distinct contexts of a few bytes no longer grow with the text.
+    The last step has four partitions a block, up to ``most_tasks``, so that few
+    tasks get a second one; a task works on one block at a time.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = max(1, min(most_parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    size = docs.agg(F.sum(F.octet_length(docs[text]))).first()[0] or 0
+    parts = max(1, min(most_parts, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))))
     kept = docs.columns if keep is None else keep
     frame = packed(docs.withColumn("_training", F.coalesce(training, F.lit(False))), text, [*kept, "_training"])
     frame = frame.select(F.struct(*[F.col("row")[c].alias(c) for c in kept]).alias("row"), "body", F.col("row._training").alias("training"))
@@ -116,7 +158,8 @@ def score_documents(
 
     texts = cut.filter(F.col("kind") == _DOC).select("block", F.lit(9).alias("kind"), none.alias("keys"), none.alias("counts"), "row", "body")
     replies = answers.select("block", "kind", "keys", "counts", F.lit(None).cast(frame.schema["row"].dataType).alias("row"), none.alias("body"))
-    both = replies.unionByName(texts).repartition(F.col("block")).sortWithinPartitions("block", "kind")
+    blocks = cut.select("block").distinct().count()
+    both = replies.unionByName(texts).repartition(max(1, min(most_tasks, 4 * blocks)), "block").sortWithinPartitions("block", "kind")
     return both.mapInArrow(_adder(depth, int(total["total"]), int(total["distinct"])), StructType([frame.schema["row"], *SCORES.fields]))
 
 
@@ -136,7 +179,7 @@ def _cutter(depth: int, parts: int, block_bytes: int, schema: StructType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal row_type
-        block, size, grams, tokens = None, 0, Gathered(), Gathered()
+        block, size, grams, tokens, hashes = None, 0, Gathered(), Gathered(), Hashes()
 
         def flush() -> Iterator[pa.RecordBatch]:
             made = list(packets(block, grams, tokens))
@@ -152,7 +195,7 @@ def _cutter(depth: int, parts: int, block_bytes: int, schema: StructType):
             for learned in (True, False):
                 mine = [b for b, t in zip(bodies, batch.column(2).to_pylist()) if t is learned]
                 if mine:
-                    for gathered, pieces in ((grams, key_pieces(mine, depth)), (tokens, [np.concatenate([tokens_of(b) for b in mine])])):
+                    for gathered, pieces in ((grams, key_pieces(mine, depth)), (tokens, [np.concatenate([tokens_of(b, hashes) for b in mine])])):
                         for keys in pieces:
                             keys, counts = np.unique(keys, return_counts=True)
                             gathered.add(keys, counts if learned else np.zeros(len(keys), np.int64))
@@ -263,7 +306,7 @@ def _answerer(depth: int, shared):
 def _adder(depth: int, total: int, distinct: int):
     """Adds up a block's answers per text; they come before the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, answers, tables = None, {}, {}
+        block, answers, tables, hashes = None, {}, {}, Hashes()
         for batch in batches:
             names = batch.schema.names
             blocks, kinds = batch.column(names.index("block")).to_pylist(), batch.column(names.index("kind")).to_pylist()
@@ -279,11 +322,11 @@ def _adder(depth: int, total: int, distinct: int):
                 if not tables:
                     for which, found in answers.items():
                         order = np.argsort(all_keys := np.concatenate([x for x, _ in found]))
-                        tables[which] = (all_keys[order], np.concatenate([y for _, y in found])[order])
+                        tables[which] = Answers(all_keys[order], np.concatenate([y for _, y in found])[order])
                     answers = {}
                 body = bodies[k].as_py()
-                score = sum(float(_looked_up(tables[_GRAMS], p).astype(float).sum()) for p in key_pieces([body], depth))
-                seen = _looked_up(tables[_TOKENS], tokens_of(body))
+                score = sum(float(tables[_GRAMS].of(p).astype(float).sum()) for p in key_pieces([body], depth))
+                seen = tables[_TOKENS].of(tokens_of(body, hashes))
                 base = float(np.log10((seen + 1) / (total + distinct + 1)).sum())
                 made.append((len(seen), int((seen > 0).sum()), total, base, score, -score * math.log2(10) / (len(body) + 1)))
                 rows.append(k)
@@ -295,6 +338,3 @@ def _adder(depth: int, total: int, distinct: int):
 
     return run
 
-
-def _looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    return table[1][np.searchsorted(table[0], keys)]
