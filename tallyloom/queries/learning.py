@@ -10,6 +10,7 @@ from tallyloom.operators import clustering as cl
 from tallyloom.operators import density
 from tallyloom.operators import evaluation as ev
 from tallyloom.operators import features as ft
+from tallyloom.operators import kernels
 from tallyloom.operators import models as md
 from tallyloom.operators import monitoring as mo
 from tallyloom.operators import neighbours as nb
@@ -432,6 +433,45 @@ def linear_svm(t):
     return _test_scores(t, md.linear_svm(1.0, t.orders.count(), maxIter=10))
 
 
+_RING = """p AS (SELECT o_orderkey, (o_custkey % 100) / 50.0 - 1 AS x, (o_orderkey * 7919 % 1009) / 504.5 - 1 AS y, (o_orderkey * 7919) % 5 AS fold FROM orders),
+    held AS (SELECT round(greatest(avg(label), 1 - avg(label)), 6) AS majority, count(*) AS rows FROM (SELECT CASE WHEN x * x + y * y < 0.6 THEN 1.0 ELSE 0.0 END AS label FROM p WHERE fold = 0))"""
+
+
+def _ring(t):
+    """Points of a square; the class is being inside a circle, the height the squared distance from its middle."""
+    x, y = (F.col("o_custkey") % 100) / 50.0 - 1, (F.col("o_orderkey") * 7919 % 1009) / 504.5 - 1
+    points = t.orders.select("o_orderkey", x.alias("x"), y.alias("y"), (F.col("o_orderkey") * 7919 % 5).alias("fold"))
+    height = F.col("x") * F.col("x") + F.col("y") * F.col("y")
+    return points.withColumn("height", height).withColumn("label", F.when(height < 0.6, 1.0).otherwise(0.0))
+
+
+@query("m40_rbf_svm", f"WITH {_RING} SELECT majority, true AS beats_majority, true AS beats_linear FROM held")
+def rbf_svm(t):
+    """A circle has no straight border: the radial kernel finds it, the linear one does not."""
+    rows = _ring(t)
+    train, held = rows.filter("fold <> 0"), rows.filter("fold = 0")
+    n = train.count()
+    linear = Pipeline(stages=[VectorAssembler(inputCols=["x", "y"], outputCol="features"), md.linear_svm(10.0, n, maxIter=30)])
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
+    straight, bent = (model.fit(train).transform(held).agg(hit) for model in (linear, kernels.rbf_svm(["x", "y"], 2.0, 10.0, n, maxIter=30)))
+    return bent.select(
+        _majority(held).alias("majority"), (F.col("accuracy") > _majority(held) + 0.2).alias("beats_majority"),
+        (F.col("accuracy") > straight.scalar() + 0.2).alias("beats_linear"))
+
+
+@query("m41_perceptron_regression", f"WITH {_RING} SELECT rows, true AS beats_linear, true AS explains_most FROM held")
+def perceptron_regression(t):
+    """The height of a bowl, from its two plane coordinates."""
+    rows = _ring(t)
+    train, held = rows.filter("fold <> 0"), rows.filter("fold = 0")
+    model = kernels.PerceptronRegressor(["x", "y"], "height", out="prediction").fit(train)
+    square = F.avg((F.col("prediction") - F.col("height")) ** 2).alias("error")
+    line = md.linear_regression(train, ["x", "y"], "height")
+    found = model.transform(held).agg(F.count("*").alias("rows"), square, F.var_pop("height").alias("spread"))
+    return found.select(
+        "rows", (F.col("error") < 0.5 * line.transform(held).agg(square).scalar()).alias("beats_linear"), (F.col("error") < 0.2 * F.col("spread")).alias("explains_most"))
+
+
 @query("e12_permutation_importance", """
     SELECT feature, true AS matters, (SELECT count(*) FROM orders WHERE (o_orderkey * 7919) % 5 = 0) AS rows FROM (VALUES ('price'), ('activity')) g(feature)""")
 def permutation_importance(t):
