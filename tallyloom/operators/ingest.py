@@ -78,10 +78,10 @@ def flatten_weather(docs: DataFrame, raw: str, source: str) -> DataFrame:
 
 def flatten_rainfall(docs: DataFrame, raw: str, source: str) -> DataFrame:
     """One row per station reading, with the station's name and place."""
-    body = _payload(raw, _RAIN)
-    entries = F.transform(body["stations"], lambda s: F.named_struct(F.lit("k"), F.coalesce(s["id"], s["deviceId"]), F.lit("v"), s))
-    stations = map_of_last(entries)
-    blocks = docs.select(stations.alias("m"), F.explode(body["readings"]).alias("r"))
+    bodies = docs.select(_payload(raw, _RAIN).alias("body"))
+    entries = F.transform("body.stations", lambda s: F.named_struct(F.lit("k"), F.coalesce(s["id"], s["deviceId"]), F.lit("v"), s))
+    # the map is made ahead of the explode: once a document, not once a reading
+    blocks = bodies.select(map_of_last(entries).alias("m"), F.col("body.readings").alias("readings")).select("m", F.explode("readings").alias("r"))
     rows = blocks.select("m", F.col("r.timestamp").alias("ts"), F.explode("r.data").alias("d"))
     station = F.try_element_at(F.col("m"), F.col("d.stationId"))
     return rows.select(

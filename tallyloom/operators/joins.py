@@ -6,7 +6,7 @@ threshold and otherwise AQE splits skewed partitions of a sort-merge join.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +40,23 @@ def fold_pages(
     )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def map_of_last(entries: Column) -> Column:
-    """Map from an array of (k, v): null keys are left out, and of equal keys the last one counts."""
-    keys = F.transform(entries, lambda e: e["k"])
-    later = lambda i: F.slice(keys, i + 2, F.size(keys))
-    return F.map_from_entries(F.filter(entries, lambda e, i: e["k"].isNotNull() & (F.array_position(later(i), e["k"]) == 0)))
+    """Map from an array of (k, v): null keys are left out, and of equal keys the last one counts.
+
+    Places are sorted by key, so a document of n entries takes n log n steps.
+    """
+    def build(given: Column) -> Column:
+        places = F.transform(given, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i")))
+        places = F.sort_array(F.filter(places, lambda p: p["k"].isNotNull()))
+        return bound(places, lambda sorted_: F.map_from_entries(F.transform(
+            F.filter(sorted_, lambda p, j: ~p["k"].eqNullSafe(F.get(sorted_, j + 1)["k"])), lambda p: F.get(given, p["i"]))))
+
+    return bound(entries, build)
 
 
 def lookup_in_document(

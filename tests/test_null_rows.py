@@ -82,6 +82,15 @@ def test_repeated_station_keeps_last(spark):
     entries = spark.createDataFrame([([("a", 1), (None, 2), ("a", 3)],)], "e array<struct<k: string, v: int>>")
     got = entries.select(map_of_last(F.col("e"))).first()[0]
     assert got == {"a": 3}
+    odd = spark.createDataFrame([([None, ("b", None), ("", 1)],), ([],), (None,)], "e array<struct<k: string, v: int>>")
+    assert [r[0] for r in odd.select(map_of_last(F.col("e"))).collect()] == [{"b": None, "": 1}, {}, None]
+
+
+def test_long_lookup_document(spark):
+    """A map of 30,000 entries, every key three times: work in the square of the entries would not end."""
+    entries = F.transform(F.sequence(F.lit(0), F.lit(29_999)), lambda i: F.struct((i % 10_000).alias("k"), i.alias("v")))
+    got = spark.range(1).select(map_of_last(entries)).first()[0]
+    assert got == {k: k + 20_000 for k in range(10_000)}
 
 
 def test_dissolve_on_many_partitions(spark):
