@@ -18,6 +18,7 @@ from tallyloom.operators.neighbours import _distances, _matrix
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.literals import literal_table
 from tallyloom.plans.scratch import checkpointed
+from tallyloom.plans.workers import importable
 
 
 def _as_array(few: DataFrame, item: Column, most: int) -> DataFrame:
@@ -106,20 +107,22 @@ def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str,
     per row and cluster, never pairs. Prefer ``silhouette_squared`` on large
     tables.
     """
+    importable(df.sparkSession)
     total = df.count()
     blocks = max(1, -(-total // block_rows))
     rows = df.select(F.col(row_id).alias("__i"), F.col(cluster).cast("bigint").alias("__k"), F.col(vector).cast("array<double>").alias("__v"))
     block = F.pmod(F.xxhash64("__i"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = rows.withColumn("__a", block).withColumn("__b", every)
-    right = rows.withColumn("__b", block).withColumn("__a", every)
+    # columns of its own: where both sides share columns, pruning can drop those that only the function reads
+    right = rows.select(F.col("__k").alias("__kr"), F.col("__v").alias("__vr"), block.alias("__b")).withColumn("__a", every)
 
     def sums(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if p.empty or q.empty:
             return pd.DataFrame({"__i": [], "__k": [], "__c": [], "__s": []})
-        d = _distances(_matrix(p["__v"]), _matrix(q["__v"]))
+        d = _distances(_matrix(p["__v"]), _matrix(q["__vr"]))
         out = []
-        for c, members in q.groupby("__k").indices.items():
+        for c, members in q.groupby("__kr").indices.items():
             out.append(pd.DataFrame({"__i": p["__i"], "__k": p["__k"], "__c": c, "__s": d[:, members].sum(axis=1)}))
         return pd.concat(out)
 

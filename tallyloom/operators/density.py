@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.scratch import materialised
+from tallyloom.plans.workers import importable
 
 _CHUNK = 256
 
@@ -176,6 +177,7 @@ def dbscan_vectors(df: DataFrame, row_id: str, vector: str, eps: float, min_poin
     clusters, many dimensions) every cell is met by all rows: work then
     grows with the square of the distinct vectors, in blocks.
     """
+    importable(df.sparkSession)
     rows = df.select(F.col(row_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     whole = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x))
     rows = rows.withColumn("v", F.when(whole, F.col("v")))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.models import linear_svm
 from tallyloom.plans.scratch import materialised
+from tallyloom.plans.workers import importable
 
 
 class RandomFourier(Transformer):
@@ -107,6 +108,7 @@ class PerceptronRegressor(Estimator):
         self.rounds, self.batch, self.rate, self.seed = rounds, batch, rate, seed
 
     def _fit(self, dataset: DataFrame) -> PerceptronModel:
+        importable(dataset.sparkSession)
         names = [*self.columns, self.target]
         numbers = [F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(names)]
         rows = materialised(dataset.select(*numbers), "perceptron")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.ordering import row_numbers
+from tallyloom.plans.workers import importable
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -53,6 +54,7 @@ def knn_join(
     queries have no neighbours.
     """
     as_double = F.col(vector).cast("array<double>")
+    importable(references.sparkSession)
     whole = F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull())
     refs = references.select(F.col(reference_id).alias("__r"), as_double.alias("__v")).filter(whole)
     asks = queries.select(F.col(query_id).alias("__q"), as_double.alias("__v")).filter(whole)

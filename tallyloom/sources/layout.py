@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.plans.literals import literal_table
+from tallyloom.plans.workers import importable
 from tallyloom.sources.files import list_files
 
 _FOOTER = (
@@ -46,6 +47,7 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
     """Row groups and column chunks of Parquet files; tasks read footers only."""
+    importable(spark)
     files = list_files(spark, path, "*.parquet").select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
     return files.mapInPandas(_read_footers, _FOOTER)
 
