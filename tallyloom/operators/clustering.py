@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.vectors import squared_l2
-from tallyloom.operators.neighbours import _distances, _matrix
+from tallyloom.operators.pairs import distances, matrix
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.literals import literal_table
 from tallyloom.plans.scratch import checkpointed
@@ -95,38 +95,46 @@ def silhouette_squared(df: DataFrame, row_id: str, vector: str, cluster: str, mo
     return rows.select(row_id, cluster, _silhouette(F.col("a"), F.col("b")).alias("silhouette"))
 
 
+_SUMS = pa.schema([("__i", pa.int64()), ("__k", pa.int64()), ("__c", pa.int64()), ("__s", pa.float64())])
+
+
 def _silhouette(a: Column, b: Column) -> Column:
     return F.when(a.isNull(), 0.0).otherwise(F.try_divide(b - a, F.greatest(a, b)))
 
 
-def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str, block_rows: int = 2_000) -> DataFrame:
+def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str, block_rows: int = 4_000) -> DataFrame:
     """Exact silhouette per row with plain Euclidean distance.
 
     This distance has no short form, so the work grows with the square of the
     rows. It is split into blocks of bounded size, and a block gives one sum
     per row and cluster, never pairs. Prefer ``silhouette_squared`` on large
-    tables.
+    tables. Rows without a cluster or a vector, or with a null inside it, count
+    in no mean and have no silhouette; vectors must be of one length.
     """
     importable(df.sparkSession)
-    total = df.count()
-    blocks = max(1, -(-total // block_rows))
-    rows = df.select(F.col(row_id).alias("__i"), F.col(cluster).cast("bigint").alias("__k"), F.col(vector).cast("array<double>").alias("__v"))
+    every_row = df.select(F.col(row_id).alias("__i"), F.col(cluster).cast("bigint").alias("__k"), F.col(vector).cast("array<double>").alias("__v"))
+    whole = F.col("__k").isNotNull() & F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull())
+    whole = F.coalesce(whole, F.lit(False))
+    rows = every_row.filter(whole)
+    blocks = max(1, -(-rows.count() // block_rows))
     block = F.pmod(F.xxhash64("__i"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = rows.withColumn("__a", block).withColumn("__b", every)
     # columns of its own: where both sides share columns, pruning can drop those that only the function reads
     right = rows.select(F.col("__k").alias("__kr"), F.col("__v").alias("__vr"), block.alias("__b")).withColumn("__a", every)
 
-    def sums(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if p.empty or q.empty:
-            return pd.DataFrame({"__i": [], "__k": [], "__c": [], "__s": []})
-        d = _distances(_matrix(p["__v"]), _matrix(q["__vr"]))
-        out = []
-        for c, members in q.groupby("__kr").indices.items():
-            out.append(pd.DataFrame({"__i": p["__i"], "__k": p["__k"], "__c": c, "__s": d[:, members].sum(axis=1)}))
-        return pd.concat(out)
-
-    partial = left.groupBy("__a", "__b").cogroup(right.groupBy("__a", "__b")).applyInPandas(
+    def sums(p: pa.Table, q: pa.Table) -> pa.Table:
+        if not len(p) or not len(q):
+            return _SUMS.empty_table()
+        q = q.sort_by("__kr")
+        a, b, clusters = matrix(p.column("__v")), matrix(q.column("__vr")), q.column("__kr").to_numpy()
+        starts = np.flatnonzero(np.append(True, clusters[1:] != clusters[:-1]))
+        step = max(1, 2_000_000 // len(b))
+        summed = np.concatenate([np.add.reduceat(distances(a[at:at + step], b), starts, axis=1) for at in range(0, len(a), step)])
+        own = [np.repeat(p.column(c).to_numpy(), len(starts)) for c in ("__i", "__k")]
+        return pa.table([*own, np.tile(clusters[starts], len(a)), summed.ravel()], schema=_SUMS)
+
+    partial = left.groupBy("__a", "__b").cogroup(right.groupBy("__a", "__b")).applyInArrow(
         sums, "__i bigint, __k bigint, __c bigint, __s double"
     )
     sizes = rows.groupBy(F.col("__k").alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
@@ -136,8 +144,9 @@ def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str,
         F.max(F.when(mine & (F.col("__n") > 1), F.col("__s") / (F.col("__n") - 1))).alias("a"),
         F.min(F.when(~mine, F.col("__s") / F.col("__n"))).alias("b"),
     )
-    return both.select(
-        F.col("__i").alias(row_id), F.col("__k").alias(cluster), _silhouette(F.col("a"), F.col("b")).alias("silhouette")
+    told = both.select("__i", "__k", _silhouette(F.col("a"), F.col("b")).alias("silhouette"))
+    return told.unionByName(every_row.filter(~whole).select("__i", "__k", F.lit(None).cast("double").alias("silhouette"))).select(
+        F.col("__i").alias(row_id), F.col("__k").alias(cluster), "silhouette"
     )
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.pairs import matrix, squares
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.scratch import materialised
 from tallyloom.plans.workers import importable
@@ -16,22 +17,13 @@ from tallyloom.plans.workers import importable
 _CHUNK = 256
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.zeros((0, 0))
-
-
-def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances from dot products, and how far they may be off at most."""
-    return (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
-
-
 def within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
     """Which pairs are at most ``eps`` apart; close calls are settled by the differences themselves."""
     limit = eps * eps
-    squares = _squares(a, b)
+    apart = squares(a, b)
     slack = 1e-9 * (limit + float((a * a).sum(axis=1).max(initial=0)) + float((b * b).sum(axis=1).max(initial=0)))
-    near = squares <= limit
-    i, j = np.nonzero(np.abs(squares - limit) <= slack)
+    near = apart <= limit
+    i, j = np.nonzero(np.abs(apart - limit) <= slack)
     for at in range(0, len(i), 65536):
         some = slice(at, at + 65536)
         near[i[some], j[some]] = ((a[i[some]] - b[j[some]]) ** 2).sum(axis=1) <= limit
@@ -44,23 +36,23 @@ def _dealer(centers: np.ndarray, eps: float):
     The plane half-way between two centers parts their cells, so a vector
     farther than ``eps`` from it has no neighbour beyond.
     """
-    apart = np.sqrt(np.maximum(_squares(centers, centers), 0))
+    apart = np.sqrt(np.maximum(squares(centers, centers), 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            squares = np.maximum(_squares(_matrix(batch.column(2)), centers), 0)
-            home = squares.argmin(axis=1)
+            far = np.maximum(squares(matrix(batch.column(2)), centers), 0)
+            home = far.argmin(axis=1)
             rows = np.arange(len(home))
             with np.errstate(divide="ignore", invalid="ignore"):
-                beyond = (squares - squares[rows, home][:, None]) / (2 * apart[home])
+                beyond = (far - far[rows, home][:, None]) / (2 * apart[home])
             reach = beyond <= eps + 1e-6 * (1 + eps)
             reach[rows, home] = True
             row, cell = np.nonzero(reach)
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int32()), pa.array(cell == home[row]), pa.array(np.sqrt(squares[row, cell])), *taken.columns], names=["cell", "home", "far", "p", "w", "v"])
+                [pa.array(cell, pa.int32()), pa.array(cell == home[row]), pa.array(np.sqrt(far[row, cell])), *taken.columns], names=["cell", "home", "far", "p", "w", "v"])
 
     return run
 
@@ -109,11 +101,11 @@ class _Count:
     """Neighbours (rows, itself among them) of each home vector, counted no further than ``least``."""
 
     def __init__(self, homes: pa.RecordBatch, eps: float, least: int):
-        self.ids, self.vectors, self.eps, self.least = homes.column(0), _matrix(homes.column(2)), eps, least
+        self.ids, self.vectors, self.eps, self.least = homes.column(0), matrix(homes.column(2)), eps, least
         self.found = np.zeros(len(self.ids), np.int64)
 
     def meet(self, others: pa.RecordBatch) -> None:
-        weights, vectors = others.column(1).to_numpy(), _matrix(others.column(2))
+        weights, vectors = others.column(1).to_numpy(), matrix(others.column(2))
         for at in range(0, len(weights), _CHUNK):
             short = np.flatnonzero(self.found < self.least)
             if len(short):
@@ -128,13 +120,13 @@ class _Link:
     """Links among core vectors, one per vector and not per pair, and the core neighbours of the other home vectors."""
 
     def __init__(self, homes: pa.RecordBatch, eps: float):
-        self.ids, self.core, self.vectors, self.eps = homes.column(0).to_numpy(), homes.column(3).to_numpy(zero_copy_only=False), _matrix(homes.column(2)), eps
+        self.ids, self.core, self.vectors, self.eps = homes.column(0).to_numpy(), homes.column(3).to_numpy(zero_copy_only=False), matrix(homes.column(2)), eps
         self.first = np.arange(len(self.ids))
         self.links: list[tuple[np.ndarray, np.ndarray, bool]] = []
 
     def meet(self, others: pa.RecordBatch) -> None:
         core = others.column(3).to_numpy(zero_copy_only=False)
-        ids, vectors = others.column(0).to_numpy()[core], _matrix(others.column(2))[core]
+        ids, vectors = others.column(0).to_numpy()[core], matrix(others.column(2))[core]
         for at in range(0, len(ids), _CHUNK):
             near = within(self.vectors, vectors[at:at + _CHUNK], self.eps)
             row, column = np.nonzero(near & ~self.core[:, None])

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.pairs import distances, matrix, nearest
 from tallyloom.plans.ordering import row_numbers
 from tallyloom.plans.workers import importable
 
@@ -17,12 +19,17 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype("float64") if len(series) else np.zeros((0, 1))
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances; differences, not dot products, for exact ties."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
-    for i in range(0, len(a), step):
-        out[i : i + step] = np.sqrt(((a[i : i + step, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+_FOUND = pa.schema([("__q", pa.int64()), ("__r", pa.int64()), ("__d", pa.float64())])
+
+
+def _packed(sizes: dict[int, int], room: int) -> dict[int, int]:
+    """Small cells share a number while they fit into ``room`` together."""
+    out, number, used = {}, 0, 0
+    for cell, n in sorted(sizes.items()):
+        if used and used + n > room:
+            number, used = number + 1, 0
+        out[cell] = number
+        used += n
     return out
 
 
@@ -41,21 +48,23 @@ def knn_join(
     k: int,
     exclude_self: bool = False,
     pivots: int = 32,
-    block_rows: int = 2_000,
+    block_rows: int = 4_000,
 ) -> DataFrame:
     """The ``k`` nearest references of every query: id, distance, rank.
 
     References are assigned to the nearest of a few pivots. Per query, the
     pivots give an upper bound for the k-th distance, and by the triangle
-    inequality only cells that can hold something nearer are searched. Cells
-    are cut into blocks of bounded size on both sides, so a hot cell is spread
-    over many tasks; a task returns at most ``k`` rows per query of its block.
-    Rows without a vector, or with a null inside it, are no references and as
-    queries have no neighbours.
+    inequality only cells that can hold something nearer are searched. Small
+    cells are searched together, large ones are cut: both sides meet in blocks
+    of about ``block_rows``, so a hot cell is spread over many tasks and a
+    query travels once a block, not once a cell. A block returns at most ``k``
+    rows per query. Rows without a vector, or with a null, NaN or infinity
+    inside it, are no references and as queries have no neighbours; vectors
+    must be of one length.
     """
     as_double = F.col(vector).cast("array<double>")
     importable(references.sparkSession)
-    whole = F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull())
+    whole = F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     refs = references.select(F.col(reference_id).alias("__r"), as_double.alias("__v")).filter(whole)
     asks = queries.select(F.col(query_id).alias("__q"), as_double.alias("__v")).filter(whole)
     centers = refs.orderBy(F.xxhash64("__r"), "__r").limit(pivots).collect()  # ``pivots`` rows
@@ -67,7 +76,7 @@ def knn_join(
 
     @F.pandas_udf("struct<cell:int,gap:double>")
     def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        d = _distances(_matrix(vectors), points)
+        d = distances(_matrix(vectors), points)
         cell = d.argmin(axis=1) if len(d) else np.zeros(0, int)
         return pd.DataFrame({"cell": cell.astype("int32"), "gap": d[np.arange(len(d)), cell]})
 
@@ -79,7 +88,7 @@ def knn_join(
     per_cell = placed.groupBy("__cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("__gap").alias("low"), F.max("__gap").alias("high")
     ).collect()  # one row per pivot
-    nearest = (
+    close = (
         placed.select("__cell", "__gap")
         .withColumn("__i", F.row_number().over(closest))
         .filter(F.col("__i") <= need)
@@ -88,12 +97,15 @@ def knn_join(
     low, high = np.full(len(points), np.inf), np.full(len(points), -np.inf)
     for row in per_cell:
         low[row["__cell"]], high[row["__cell"]] = row["low"], row["high"]
-    near_cell = np.array([row["__cell"] for row in nearest])
-    near_gap = np.array([row["__gap"] for row in nearest])
+    near_cell = np.array([row["__cell"] for row in close])
+    near_gap = np.array([row["__gap"] for row in close])
+
+    shared = _packed({row["__cell"]: row["n"] for row in per_cell}, block_rows)
+    bins = np.array([shared.get(c, 0) for c in range(len(points))])
 
     @F.pandas_udf("array<int>")
-    def cells_to_search(vectors: pd.Series) -> pd.Series:
-        d = _distances(_matrix(vectors), points)
+    def bins_to_search(vectors: pd.Series) -> pd.Series:
+        d = distances(_matrix(vectors), points)
         if not len(d):
             return pd.Series([], dtype=object)
         reach = d[:, near_cell] + near_gap
@@ -101,11 +113,14 @@ def knn_join(
         bound = bound * (1 + 1e-9) + 1e-12
         usable = np.isfinite(low)
         useful = usable & (d - high <= bound[:, None]) & (low - d <= bound[:, None])
-        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in useful])
+        return pd.Series([np.unique(bins[row]).astype("int32").tolist() for row in useful])
 
-    routed = asks.withColumn("__cell", F.explode(cells_to_search("__v")))
-    asked = {r["__cell"]: r["count"] for r in routed.groupBy("__cell").count().collect()}  # one per pivot
-    r_blocks = {r["__cell"]: -(-r["n"] // block_rows) for r in per_cell}
+    routed = asks.withColumn("__cell", F.explode(bins_to_search("__v")))
+    asked = {r["__cell"]: r["count"] for r in routed.groupBy("__cell").count().collect()}  # at most one per pivot
+    held: dict[int, int] = {}
+    for row in per_cell:
+        held[shared[row["__cell"]]] = held.get(shared[row["__cell"]], 0) + row["n"]
+    r_blocks = {c: -(-n // block_rows) for c, n in held.items()}
     q_blocks = {c: -(-n // block_rows) for c, n in asked.items()}
 
     def spread(own: str, own_blocks: dict, other_blocks: dict, own_name: str, other_name: str, df: DataFrame) -> DataFrame:
@@ -115,23 +130,19 @@ def knn_join(
         )
 
     left = spread("__q", q_blocks, r_blocks, "__qb", "__rb", routed)
-    right = spread("__r", r_blocks, q_blocks, "__rb", "__qb", placed.drop("__gap"))
-
-    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return pd.DataFrame({"__q": [], "__r": [], "__d": []})
-        r = r.sort_values("__r")
-        ids, d = r["__r"].to_numpy(), _distances(_matrix(q["__v"]), _matrix(r["__v"]))
-        asked_ids = q["__q"].to_numpy()
-        if exclude_self:
-            d[asked_ids[:, None] == ids[None, :]] = np.inf
-        top = np.argsort(d, axis=1, kind="stable")[:, :k]
-        best = np.take_along_axis(d, top, axis=1)
-        out = pd.DataFrame({"__q": np.repeat(asked_ids, top.shape[1]), "__r": ids[top].ravel(), "__d": best.ravel()})
-        return out[np.isfinite(out["__d"])]
+    binned = placed.select("__r", F.col("__v").alias("__rv"), _by_cell(shared).alias("__cell"))
+    right = spread("__r", r_blocks, q_blocks, "__rb", "__qb", binned)
+
+    def search(q: pa.Table, r: pa.Table) -> pa.Table:
+        asking, names = q.column("__q").to_numpy(), r.column("__r").to_numpy()
+        if not len(asking) or not len(names):
+            i, j, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        else:
+            i, j, d = nearest(matrix(q.column("__v")), matrix(r.column("__rv")), names, k, asking if exclude_self else None)
+        return pa.table({"__q": asking[i], "__r": names[j], "__d": d}, schema=_FOUND)
 
     keys = ["__cell", "__rb", "__qb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "__q bigint, __r bigint, __d double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "__q bigint, __r bigint, __d double")
     order = Window.partitionBy("__q").orderBy("__d", "__r")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(

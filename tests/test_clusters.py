@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import clustering, neighbours
+from tallyloom.operators import clustering, neighbours, pairs
 from tallyloom.plans.graph import connected_components
 
 
@@ -68,6 +68,65 @@ def test_knn_join_in_small_blocks(spark):
     assert [have[i] for i in range(len(points))] == want.tolist()
 
 
+@pytest.mark.parametrize("pivots, block_rows", [(1, 10_000), (6, 25), (16, 90), (40, 7)])
+def test_knn_join_by_any_packing(spark, pivots, block_rows):
+    """Far from the origin products round much; near copies, equal rows and unusable vectors are among them."""
+    rng = np.random.default_rng(21)
+    points = rng.normal(0, 1, (160, 5)) + 1e4
+    points[40:60] = points[40]
+    points[60:80] = points[40] + rng.normal(0, 1e-6, (20, 5))
+    odd = [(1000, None), (1001, [1.0, None, 1.0, 1.0, 1.0]), (1002, [float("nan")] * 5), (1003, [float("inf")] + [0.0] * 4)]
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)] + odd, "id bigint, v array<double>")
+    got = neighbours.knn_join(frame, frame, "id", "id", "v", 3, exclude_self=True, pivots=pivots, block_rows=block_rows).toPandas()
+    d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1, kind="stable")[:, :3]
+    got = got.sort_values(["id", "rank"])
+    assert got["neighbour"].to_numpy().reshape(-1, 3).tolist() == want.tolist()
+    assert np.allclose(got["distance"].to_numpy().reshape(-1, 3), np.take_along_axis(d, want, axis=1), rtol=1e-12, atol=0)
+
+
+def test_few_references(spark):
+    refs = spark.createDataFrame([(7, [0.0]), (8, [5.0])], "r bigint, v array<float>")
+    asks = spark.createDataFrame([(1, [1.0]), (2, [9.0]), (3, None)], "q bigint, v array<float>")
+    got = neighbours.knn_join(asks, refs, "q", "r", "v", 4).orderBy("q", "rank").collect()
+    assert [(r["q"], r["neighbour"], r["distance"], r["rank"]) for r in got] == [(1, 7, 1.0, 1), (1, 8, 4.0, 2), (2, 8, 4.0, 1), (2, 7, 9.0, 2)]
+    assert neighbours.knn_join(asks.limit(0), refs, "q", "r", "v", 4).count() == 0
+    assert neighbours.knn_join(asks, refs.limit(0), "q", "r", "v", 4).count() == 0
+
+
+def test_distances_of_near_copies_far_out():
+    rng = np.random.default_rng(22)
+    a = rng.normal(0, 1, (50, 8)) + 1e5
+    b = np.vstack([a[:20], a[20:40] + 1e-5, rng.normal(0, 1, (30, 8))])
+    want = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+    assert np.allclose(pairs.distances(a, b), want, rtol=1e-9, atol=0)
+
+
+def test_vectors_of_several_lengths_are_refused():
+    import pyarrow as pa
+
+    with pytest.raises(ValueError, match="vectors of 2 and 4 numbers"):
+        pairs.matrix(pa.array([[1.0, 2.0], [1.0, 2.0, 3.0, 4.0]]))
+
+
+@pytest.mark.parametrize("block_rows", [13, 4_000])
+def test_euclidean_silhouette_matches_pairs(spark, block_rows):
+    rng = np.random.default_rng(23)
+    points, k = rng.random((60, 4)), np.arange(60) % 3
+    points[10:20], k[59] = points[10], 9
+    odd = [(100, None, 1), (101, [0.1] * 4, None), (102, [0.1, None, 0.1, 0.1], 2)]
+    frame = spark.createDataFrame([(i, p.tolist(), int(c)) for i, (p, c) in enumerate(zip(points, k))] + odd, "i bigint, v array<double>, k int")
+    got = {r["i"]: r["silhouette"] for r in clustering.silhouette_euclidean(frame, "i", "v", "k", block_rows=block_rows).collect()}
+    assert len(got) == 63 and all(got[i] is None for i in (100, 101, 102))
+    d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
+    for i in range(60):
+        n = (k == k[i]).sum()
+        a = d[i, k == k[i]].sum() / max(1, n - 1)
+        b = min(d[i, k == c].mean() for c in np.unique(k) if c != k[i])
+        assert got[i] == pytest.approx((b - a) / max(a, b) if n > 1 else 0.0)
+
+
 def check_components(spark, edges):
     parent = {}
 
