@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.vectors import squared_l2
-from tallyloom.operators.pairs import distances, matrix
+from tallyloom.operators.pairs import PAIRS, distances, matrix
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.literals import literal_table
 from tallyloom.plans.scratch import checkpointed
@@ -129,7 +129,7 @@ def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str,
         q = q.sort_by("__kr")
         a, b, clusters = matrix(p.column("__v")), matrix(q.column("__vr")), q.column("__kr").to_numpy()
         starts = np.flatnonzero(np.append(True, clusters[1:] != clusters[:-1]))
-        step = max(1, 2_000_000 // len(b))
+        step = max(1, PAIRS // len(b))
         summed = np.concatenate([np.add.reduceat(distances(a[at:at + step], b), starts, axis=1) for at in range(0, len(a), step)])
         own = [np.repeat(p.column(c).to_numpy(), len(starts)) for c in ("__i", "__k")]
         return pa.table([*own, np.tile(clusters[starts], len(a)), summed.ravel()], schema=_SUMS)

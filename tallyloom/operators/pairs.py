@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pairs looked at at once, so that a step's memory does not follow its blocks.
-_PAIRS = 2_000_000
+PAIRS = 500_000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -55,7 +55,7 @@ def nearest(a: np.ndarray, b: np.ndarray, names: np.ndarray, k: int, own: np.nda
     """
     found = []
     longest = float((b * b).sum(axis=1).max(initial=0))
-    step = max(1, _PAIRS // max(1, len(b)))
+    step = max(1, PAIRS // max(1, len(b)))
     for at in range(0, len(a), step):
         some = a[at:at + step]
         near = squares(some, b)
