@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.pairs import distances, matrix, nearest
+from tallyloom.operators.pairs import block_size, distances, matrix, nearest, numbers_of, packed
 from tallyloom.plans.ordering import row_numbers
 from tallyloom.plans.workers import importable
 
@@ -22,17 +22,6 @@ def _matrix(series: pd.Series) -> np.ndarray:
 _FOUND = pa.schema([("__q", pa.int64()), ("__r", pa.int64()), ("__d", pa.float64())])
 
 
-def _packed(sizes: dict[int, int], room: int) -> dict[int, int]:
-    """Small cells share a number while they fit into ``room`` together."""
-    out, number, used = {}, 0, 0
-    for cell, n in sorted(sizes.items()):
-        if used and used + n > room:
-            number, used = number + 1, 0
-        out[cell] = number
-        used += n
-    return out
-
-
 def _by_cell(values: dict[int, int]) -> Column:
     """Lookup of a small per-cell number by the cell column."""
     entries = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
@@ -48,7 +37,7 @@ def knn_join(
     k: int,
     exclude_self: bool = False,
     pivots: int = 32,
-    block_rows: int = 4_000,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest references of every query: id, distance, rank.
 
@@ -56,17 +45,16 @@ def knn_join(
     pivots give an upper bound for the k-th distance, and by the triangle
     inequality only cells that can hold something nearer are searched. Small
     cells are searched together, large ones are cut: both sides meet in blocks
-    of about ``block_rows``, so a hot cell is spread over many tasks and a
-    query travels once a block, not once a cell. A block returns at most ``k``
-    rows per query. Rows without a vector, or with a null, NaN or infinity
+    of about ``block_rows`` (by default a sixteenth of the larger side, while that fits a
+    task), so a hot cell is spread over many tasks and a query travels once a
+    block, not once a cell. A block returns at most ``k`` rows per query. Rows without a vector, or with a null, NaN or infinity
     inside it, are no references and as queries have no neighbours; vectors
     must be of one length.
     """
-    as_double = F.col(vector).cast("array<double>")
     importable(references.sparkSession)
     whole = F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    refs = references.select(F.col(reference_id).alias("__r"), as_double.alias("__v")).filter(whole)
-    asks = queries.select(F.col(query_id).alias("__q"), as_double.alias("__v")).filter(whole)
+    refs = references.select(F.col(reference_id).alias("__r"), numbers_of(references, vector).alias("__v")).filter(whole)
+    asks = queries.select(F.col(query_id).alias("__q"), numbers_of(queries, vector).alias("__v")).filter(whole)
     centers = refs.orderBy(F.xxhash64("__r"), "__r").limit(pivots).collect()  # ``pivots`` rows
     if not centers:
         empty = asks.filter(F.lit(False)).select(F.col("__q").alias(query_id))
@@ -99,8 +87,9 @@ def knn_join(
         low[row["__cell"]], high[row["__cell"]] = row["low"], row["high"]
     near_cell = np.array([row["__cell"] for row in close])
     near_gap = np.array([row["__gap"] for row in close])
+    block_rows = block_rows or block_size(max(asks.count(), sum(row["n"] for row in per_cell)), points.shape[1])
 
-    shared = _packed({row["__cell"]: row["n"] for row in per_cell}, block_rows)
+    shared = packed({row["__cell"]: row["n"] for row in per_cell}, block_rows)
     bins = np.array([shared.get(c, 0) for c in range(len(points))])
 
     @F.pandas_udf("array<int>")
