@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.vectors import squared_l2
-from tallyloom.operators.pairs import PAIRS, distances, matrix
+from tallyloom.operators.pairs import CHUNK, PAIRS, block_size, distances, matrix, numbers_of
 from tallyloom.plans.graph import connected_components
 from tallyloom.plans.literals import literal_table
 from tallyloom.plans.scratch import checkpointed
@@ -98,45 +98,66 @@ def silhouette_squared(df: DataFrame, row_id: str, vector: str, cluster: str, mo
 _SUMS = pa.schema([("__i", pa.int64()), ("__k", pa.int64()), ("__c", pa.int64()), ("__s", pa.float64())])
 
 
+def _told(names: np.ndarray, clusters: np.ndarray, others: np.ndarray, summed: np.ndarray) -> pa.Table:
+    own = [np.repeat(x, len(others)) for x in (names, clusters)]
+    return pa.table([*own, np.tile(others, len(names)), summed.ravel()], schema=_SUMS)
+
+
 def _silhouette(a: Column, b: Column) -> Column:
     return F.when(a.isNull(), 0.0).otherwise(F.try_divide(b - a, F.greatest(a, b)))
 
 
-def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str, block_rows: int = 4_000) -> DataFrame:
+def silhouette_euclidean(df: DataFrame, row_id: str, vector: str, cluster: str, block_rows: int | None = None) -> DataFrame:
     """Exact silhouette per row with plain Euclidean distance.
 
     This distance has no short form, so the work grows with the square of the
-    rows. It is split into blocks of bounded size, and a block gives one sum
-    per row and cluster, never pairs. Prefer ``silhouette_squared`` on large
-    tables. Rows without a cluster or a vector, or with a null inside it, count
-    in no mean and have no silhouette; vectors must be of one length.
+    rows. It is split into blocks of about ``block_rows`` (by default a sixteenth of the
+    rows, while that fits a task); every two blocks meet once, for the rows of
+    both, and give one sum per row and cluster, never pairs. Prefer
+    ``silhouette_squared`` on large tables. Rows without a cluster or a vector,
+    or with a null inside it, count in no mean and have no silhouette; vectors
+    must be of one length.
     """
     importable(df.sparkSession)
-    every_row = df.select(F.col(row_id).alias("__i"), F.col(cluster).cast("bigint").alias("__k"), F.col(vector).cast("array<double>").alias("__v"))
+    every_row = df.select(F.col(row_id).alias("__i"), F.col(cluster).cast("bigint").alias("__k"), numbers_of(df, vector).alias("__v"))
     whole = F.col("__k").isNotNull() & F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull())
     whole = F.coalesce(whole, F.lit(False))
     rows = every_row.filter(whole)
-    blocks = max(1, -(-rows.count() // block_rows))
-    block = F.pmod(F.xxhash64("__i"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.withColumn("__a", block).withColumn("__b", every)
-    # columns of its own: where both sides share columns, pruning can drop those that only the function reads
-    right = rows.select(F.col("__k").alias("__kr"), F.col("__v").alias("__vr"), block.alias("__b")).withColumn("__a", every)
-
-    def sums(p: pa.Table, q: pa.Table) -> pa.Table:
-        if not len(p) or not len(q):
-            return _SUMS.empty_table()
-        q = q.sort_by("__kr")
-        a, b, clusters = matrix(p.column("__v")), matrix(q.column("__vr")), q.column("__kr").to_numpy()
-        starts = np.flatnonzero(np.append(True, clusters[1:] != clusters[:-1]))
-        step = max(1, PAIRS // len(b))
-        summed = np.concatenate([np.add.reduceat(distances(a[at:at + step], b), starts, axis=1) for at in range(0, len(a), step)])
-        own = [np.repeat(p.column(c).to_numpy(), len(starts)) for c in ("__i", "__k")]
-        return pa.table([*own, np.tile(clusters[starts], len(a)), summed.ravel()], schema=_SUMS)
-
-    partial = left.groupBy("__a", "__b").cogroup(right.groupBy("__a", "__b")).applyInArrow(
-        sums, "__i bigint, __k bigint, __c bigint, __s double"
-    )
+    told = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("__v")).alias("width")).first()
+    blocks = max(1, -(-told["n"] // (block_rows or block_size(told["n"], told["width"] or 0))))
+    own = rows.withColumn("__o", F.pmod(F.xxhash64("__i"), F.lit(blocks)).cast("int"))
+    dealt = own.withColumn("__e", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+        "__i", "__k", "__v", "__o", F.least("__o", "__e").alias("__a"), F.greatest("__o", "__e").alias("__b"))
+
+    def sums(both: pa.Table) -> pa.Table:
+        both = both.sort_by([("__o", "ascending"), ("__k", "ascending")])
+        names, clusters, vectors = both.column("__i").to_numpy(), both.column("__k").to_numpy(), matrix(both.column("__v"))
+        owners = both.column("__o").to_numpy()
+        met, cut = both.column("__a")[0] != both.column("__b")[0], int(np.searchsorted(owners, owners[-1]))
+        if met and not cut:
+            return _SUMS.empty_table()  # the other block has no rows
+        first, second = (slice(0, cut), slice(cut, None)) if met else (slice(None), slice(None))
+        a, b, of_a, of_b = vectors[first], vectors[second], clusters[first], clusters[second]
+        starts_a, starts_b = (np.flatnonzero(np.append(True, c[1:] != c[:-1])) for c in (of_a, of_b))
+        to_b, to_a = np.zeros((len(a), len(starts_b))), np.zeros((len(starts_a), len(b)))
+        step = max(1, PAIRS // min(len(b), CHUNK))
+        for at in range(0, len(a), step):
+            group = np.flatnonzero(np.append(True, of_a[at:at + step][1:] != of_a[at:at + step][:-1]))
+            rank_a = np.searchsorted(starts_a, at + group, side="right") - 1
+            for start in range(0, len(b), CHUNK):
+                d = distances(a[at:at + step], b[start:start + CHUNK])
+                some = of_b[start:start + CHUNK]
+                cuts = np.flatnonzero(np.append(True, some[1:] != some[:-1]))
+                rank_b = np.searchsorted(starts_b, start + cuts, side="right") - 1
+                to_b[at:at + step, rank_b] += np.add.reduceat(d, cuts, axis=1)
+                if met:
+                    to_a[rank_a, start:start + CHUNK] += np.add.reduceat(d, group, axis=0)
+        parts = [_told(names[first], of_a, of_b[starts_b], to_b)]
+        if met:
+            parts.append(_told(names[second], of_b, of_a[starts_a], to_a.T))
+        return pa.concat_tables(parts)
+
+    partial = dealt.groupBy("__a", "__b").applyInArrow(sums, "__i bigint, __k bigint, __c bigint, __s double")
     sizes = rows.groupBy(F.col("__k").alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
     means = partial.groupBy("__i", "__k", "__c").agg(F.sum("__s").alias("__s")).join(sizes, "__c")
     mine = F.col("__c") == F.col("__k")
