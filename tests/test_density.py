@@ -45,3 +45,32 @@ def test_near_decides_close_calls_exactly():
     a, b = np.array([[1e6, 0.1]]), np.array([[1e6, 0.4], [1e6, 0.1 + 0.3 + 1e-9]])
     exact = ((a[0] - b) ** 2).sum(axis=1) <= 0.3 * 0.3
     assert density.within(a, b, 0.3)[0].tolist() == exact.tolist()
+
+
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (1e7, 1.0), (0.0, 1e-25), (0.0, 1e30)])
+def test_reach_says_what_differences_say(shift, scale):
+    """Single precision decides no close call, far from the origin, for tiny and for huge numbers."""
+    rng = np.random.default_rng(41)
+    homes = (rng.random((90, 6)) + shift) * scale
+    others = np.vstack([homes[:30] + 0.5 * scale, (rng.random((200, 6)) + shift) * scale])
+    eps = float(np.sqrt(((homes[3] - others[3]) ** 2).sum()))
+    want = ((homes[:, None, :] - others[None, :, :]) ** 2).sum(axis=2) <= eps * eps
+    near = density._Reach(homes, eps).of(others)
+    rows, columns = np.arange(5, 90), np.arange(0, 230, 3)
+    assert (near(np.arange(90), np.arange(230)) == want).all() and (near(rows, columns) == want[rows][:, columns]).all()
+
+
+def test_wide_radius_deals_a_row_to_few_blocks(spark, monkeypatch):
+    """Where every cell is met by all rows, a row travels once a block and not once a pivot."""
+    rng, seen, met = np.random.default_rng(42), [], density._met
+
+    def watched(*args):
+        seen.append(next(x for x in args if isinstance(x, dict)))
+        return met(*args)
+
+    monkeypatch.setattr(density, "_met", watched)
+    points = rng.normal(0, 1, (1_500, 8))
+    got = clusters(spark, [(i, p.tolist(), "x") for i, p in enumerate(points)], 2.2, 5)
+    label, kind = brute_dbscan(points, 2.2, 5)
+    assert [got[i] for i in range(len(points))] == list(zip(label.tolist(), kind.tolist()))
+    assert len(seen) == 2 and all(sum(every for _, every in sizes.values()) <= 8 * len(points) for sizes in seen)
