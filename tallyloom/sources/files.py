@@ -77,10 +77,16 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Row counts of both sides and rows that only one of them has."""
-    tag_a = a.groupBy(*a.columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__m", F.lit(0).cast("long"))
-    tag_b = b.select(*a.columns).groupBy(*a.columns).agg(F.count(F.lit(1)).alias("__m")).withColumn("__n", F.lit(0).cast("long"))
-    both = tag_a.unionByName(tag_b).groupBy(*a.columns).agg(F.sum("__n").alias("n"), F.sum("__m").alias("m"))
+    """Row counts of both sides and rows that only one of them has.
+
+    Rows are dealt by a digest before they are counted: a task then holds a
+    share of the shuffle, and no map of all rows of a scan.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    tag_a = a.select(*a.columns, one.alias("__n"), none.alias("__m"))
+    tag_b = b.select(*a.columns, none.alias("__n"), one.alias("__m"))
+    dealt = tag_a.unionByName(tag_b).withColumn("__h", F.xxhash64(*a.columns)).repartition("__h")
+    both = dealt.groupBy("__h", *a.columns).agg(F.sum("__n").alias("n"), F.sum("__m").alias("m"))
     gap = F.col("n") - F.col("m")
     return both.agg(
         F.sum("n").alias("left_rows"), F.sum("m").alias("right_rows"),
