@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +49,161 @@ class RandomFourier(Transformer):
 
 
 def rbf_svm(columns: Sequence[str], gamma: float, c: float, rows: int, classes: int = 2, width: int = 200, seed: int = 0, **params) -> Pipeline:
-    """Support vector machine with a radial kernel: a linear one over random Fourier features, fitted in passes over the rows."""
-    return Pipeline(stages=[RandomFourier(columns, gamma, width, seed), linear_svm(c, rows, classes, **params)])
+    """Support vector machine with a radial kernel: a linear one over random Fourier features, fitted in passes over the rows.
+
+    With two classes the features are made anew in each pass and never stored.
+    """
+    waves = RandomFourier(columns, gamma, width, seed)
+    if classes == 2 and not set(params) - {"maxIter", "tol", "labelCol"}:
+        return Pipeline(stages=[FourierMachine(waves, 1.0 / (rows * c), **params)])
+    return Pipeline(stages=[waves, linear_svm(c, rows, classes, **params)])
+
+
+class FourierMachine(Estimator):
+    """Linear support vector machine over random Fourier features, with the objective of MLlib's LinearSVC.
+
+    That is the mean hinge loss and ``penalty`` / 2 times the squared weights
+    of the features scaled to unit deviation; the intercept is free. Each
+    evaluation is one pass over the stored columns that makes the features of
+    a batch, uses and drops them; only sums per weight leave the executors.
+    Quasi-Newton steps on the driver have ``width`` + 1 numbers.
+    """
+
+    def __init__(self, waves: RandomFourier, penalty: float, maxIter: int = 100, tol: float = 1e-6, labelCol: str = "label"):
+        super().__init__()
+        self.waves, self.penalty, self.most, self.tol, self.label = waves, penalty, maxIter, tol, labelCol
+
+    def _fit(self, dataset: DataFrame) -> FourierMachineModel:
+        importable(dataset.sparkSession)
+        numbers = [F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate([*self.waves.columns, self.label])]
+        rows = materialised(dataset.select(*numbers), "fourier-rows")
+        odd = F.lit(False)
+        for name in rows.columns:
+            odd = odd | F.col(name).isNull() | F.isnan(name)
+        told = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd"), F.count_if(~F.col(rows.columns[-1]).isin(0.0, 1.0)).alias("other")).first()
+        if not told["n"] or told["odd"] or told["other"]:
+            raise ValueError(f"{told['n']} training rows, {told['odd']} with null or NaN, {told['other']} with a label that is not 0 or 1")
+        shifts, directions, width = self.waves.shifts, self.waves.directions, len(self.waves.shifts)
+
+        def summed(step: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+            parts = rows.mapInArrow(_summing(shifts, directions, step), "sums array<double>").select(F.posexplode("sums").alias("place", "s"))
+            found = parts.groupBy("place").agg(F.sum("s").alias("s")).orderBy("place").collect()  # two rows a wave, or one
+            return np.array([r["s"] for r in found]) / told["n"]
+
+        moments = summed(_moments)
+        spread = np.sqrt(np.maximum(moments[width:] - moments[:width] ** 2, 0) * told["n"] / max(1, told["n"] - 1))
+        scale = np.divide(1.0, spread, out=np.zeros(width), where=spread > 0)
+
+        def objective(flat: np.ndarray) -> tuple[float, np.ndarray]:
+            got = summed(_hinge(flat[:-1] * scale, flat[-1]))
+            slope = np.append(got[1:-1] * scale, got[-1])
+            slope[:-1] += self.penalty * flat[:-1]
+            return float(got[0] + 0.5 * self.penalty * (flat[:-1] ** 2).sum()), slope
+
+        flat = _least(objective, np.zeros(width + 1), self.most, self.tol)
+        return FourierMachineModel(self.waves, flat[:-1] * scale, float(flat[-1]))
+
+
+class FourierMachineModel(Model):
+    """Adds ``features``, ``rawPrediction`` and ``prediction``; the last two are null where a column is null."""
+
+    def __init__(self, waves: RandomFourier, weights: np.ndarray, intercept: float):
+        super().__init__()
+        self.waves, self.weights, self.intercept = waves, weights, intercept
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        importable(dataset.sparkSession)
+        made = self.waves.transform(dataset)
+        shifts, directions, weights, intercept = self.waves.shifts, self.waves.directions, self.weights, self.intercept
+
+        def margin(*columns: pa.Array) -> pa.Array:
+            return pa.array(np.concatenate([_waves(some, shifts, directions) @ weights + intercept for some in _pieces(columns)] or [np.zeros(0)]).astype(np.float64))
+
+        far = F.arrow_udf(margin, "double")(*[F.col(c).cast("double") for c in self.waves.columns])
+        known = F.col(self.waves.out).isNotNull()
+        made = made.withColumn("__margin", F.when(known, far))
+        return made.withColumn("rawPrediction", F.when(known, array_to_vector(F.array(-F.col("__margin"), F.col("__margin"))))).withColumn(
+            "prediction", F.when(known, (F.col("__margin") > 0).cast("double"))).drop("__margin")
+
+
+def _pieces(columns: Sequence[pa.Array], step: int = 2_048) -> Iterator[np.ndarray]:
+    rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+    for at in range(0, len(rows), step):
+        yield rows[at:at + step]
+
+
+def _waves(rows: np.ndarray, shifts: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The features in single precision; wide angles are turned back in double precision first."""
+    angle = rows @ directions.T + shifts
+    if not np.abs(angle).max(initial=0) < 100:
+        angle -= 2 * np.pi * np.rint(angle / (2 * np.pi))
+    angle = angle.astype(np.float32)
+    np.cos(angle, out=angle)
+    angle *= np.float32(np.sqrt(2 / len(shifts)))
+    return angle
+
+
+def _summing(shifts: np.ndarray, directions: np.ndarray, step: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0.0
+        for batch in batches:
+            for some in _pieces(batch.columns):
+                total = total + step(_waves(some[:, :-1], shifts, directions), some[:, -1])
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
+def _moments(made: np.ndarray, label: np.ndarray) -> np.ndarray:
+    return np.concatenate([made.sum(axis=0, dtype=np.float64), (made * made).sum(axis=0, dtype=np.float64)])
+
+
+def _hinge(weights: np.ndarray, intercept: float):
+    single = weights.astype(np.float32)
+
+    def step(made: np.ndarray, label: np.ndarray) -> np.ndarray:
+        side = 2 * label - 1
+        short = 1 - side * (made @ single + intercept)
+        pull = np.where(short > 0, -side, 0.0)
+        return np.concatenate([[np.maximum(short, 0).sum()], (made.T @ pull.astype(np.float32)).astype(np.float64), [pull.sum()]])
+
+    return step
+
+
+def _least(objective: Callable[[np.ndarray], tuple[float, np.ndarray]], at: np.ndarray, most: int, tol: float, memory: int = 10) -> np.ndarray:
+    """Limited-memory quasi-Newton steps, each halved until the value falls enough."""
+    value, slope = objective(at)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(most):
+        way, used = slope.copy(), []
+        for moved, turned in reversed(pairs):
+            share = (moved @ way) / (moved @ turned)
+            used.append(share)
+            way -= share * turned
+        if pairs:
+            way *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1])
+        for (moved, turned), share in zip(pairs, reversed(used)):
+            way += (share - (turned @ way) / (moved @ turned)) * moved
+        fall = way @ slope
+        if fall <= 0:
+            way, fall, pairs = slope.copy(), slope @ slope, []
+        length = 1.0 if pairs else 1.0 / max(1e-12, np.sqrt(slope @ slope))
+        for _ in range(20):
+            new, new_slope = objective(at - length * way)
+            if new <= value - 1e-4 * length * fall:
+                break
+            length /= 2
+        else:
+            return at
+        moved, turned = -length * way, new_slope - slope
+        if moved @ turned > 1e-10 * (moved @ moved):
+            pairs = [*pairs, (moved, turned)][-memory:]
+        done = value - new <= tol * max(abs(value), abs(new), 1e-6)
+        at, value, slope = at + moved, new, new_slope
+        if done:
+            break
+    return at
 
 
 class Perceptron:

@@ -48,3 +48,51 @@ def test_perceptron_learns_and_predicts_as_numpy(spark):
 def test_perceptron_without_rows(spark):
     with pytest.raises(ValueError, match="no training rows"):
         kernels.PerceptronRegressor(["a"], "y").fit(spark.createDataFrame([], "a double, y double"))
+
+
+def ring(spark, rows):
+    points = np.random.default_rng(7).random((rows, 2)) * 2 - 1
+    return spark.createDataFrame([(k, float(a), float(b), float(a * a + b * b < 0.6)) for k, (a, b) in enumerate(points)], "k int, a double, b double, label double")
+
+
+def test_radial_machine_stores_no_features(spark, monkeypatch):
+    """Training makes the features pass by pass; the result is as good as MLlib's machine over stored ones."""
+    frame = ring(spark, 600)
+    waves = kernels.RandomFourier(["a", "b"], 2.0, 60, 5)
+    stored = waves.transform(frame)
+    machine = kernels.linear_svm(10.0, 600, maxIter=60).fit(stored)
+    with monkeypatch.context() as patch:
+        patch.setattr(kernels.RandomFourier, "_transform", lambda *_: pytest.fail("features of all training rows were made"))
+        model = kernels.rbf_svm(["a", "b"], 2.0, 10.0, 600, width=60, seed=5, maxIter=60).fit(frame)
+    made = np.array([r["v"] for r in stored.orderBy("k").select(vector_to_array("features").alias("v")).collect()])
+    side = np.array([2 * r["label"] - 1 for r in frame.orderBy("k").collect()])
+    spread = made.std(axis=0, ddof=1)
+
+    def cost(weights, intercept):
+        return np.maximum(0, 1 - side * (made @ weights + intercept)).mean() + ((weights * spread) ** 2).sum() / (2 * 600 * 10.0)
+
+    mine = model.stages[0]
+    assert cost(mine.weights, mine.intercept) <= 1.02 * cost(machine.coefficients.toArray(), machine.intercept)
+    got = model.transform(frame).orderBy("k").select("prediction", vector_to_array("rawPrediction").alias("raw")).collect()
+    far = made @ mine.weights + mine.intercept
+    assert np.allclose([r["raw"] for r in got], np.column_stack([-far, far]), atol=1e-3)
+    assert [r["prediction"] for r in got] == [float(r["raw"][1] > 0) for r in got]
+
+
+def test_radial_machine_and_odd_rows(spark):
+    frame = ring(spark, 80)
+    model = kernels.rbf_svm(["a", "b"], 2.0, 10.0, 80, width=20, maxIter=5).fit(frame)
+    odd = spark.createDataFrame([(None, 1.0), (1.0, None), (0.0, 0.0)], "a double, b double")
+    assert [r["prediction"] for r in model.transform(odd).collect()][:2] == [None, None]
+    assert model.transform(odd.limit(0)).count() == 0
+    for bad in ("CAST(NULL AS double)", "CAST('NaN' AS double)"):
+        with pytest.raises(ValueError, match="80 training rows, 80 with null or NaN"):
+            kernels.rbf_svm(["a", "b"], 2.0, 10.0, 80).fit(frame.selectExpr("a", f"{bad} AS b", "label"))
+    with pytest.raises(ValueError, match="0 training rows"):
+        kernels.rbf_svm(["a", "b"], 2.0, 10.0, 80).fit(frame.limit(0))
+
+
+def test_wide_angles_are_turned_back():
+    rows, shifts, directions = np.array([[1e6, -3e5]]), np.array([0.5, 1.0]), np.array([[1.0, 2.0], [0.3, -0.7]])
+    assert np.allclose(kernels._waves(rows, shifts, directions), np.cos(rows @ directions.T + shifts), atol=1e-6)
+    assert kernels._waves(np.zeros((0, 2)), shifts, directions).shape == (0, 2)
